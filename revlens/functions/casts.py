@@ -10,6 +10,11 @@ from revlens.functions.dates import date_of_millis
 # Texts that count as true, compared in lower case.
 TRUE_TEXTS = ("1", "true", "t", "yes", "y")
 
+# A failed cast is far slower than a pattern test, so dirty values are sorted out first.
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NOT_FINITE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$"
+
 
 def has_value(raw: Column) -> Column:
     """True where the raw text is neither missing nor empty."""
@@ -18,11 +23,13 @@ def has_value(raw: Column) -> Column:
 
 def to_int(raw: Column) -> Column:
     """Whole number; a fraction is cut towards zero (``4.5`` and ``"4.0"`` give 4)."""
-    return F.coalesce(raw.try_cast("bigint"), raw.try_cast("double").try_cast("bigint"))
+    return F.when(raw.rlike(WHOLE_NUMBER), raw.try_cast("bigint")).when(
+        raw.rlike(NUMBER), raw.try_cast("double").try_cast("bigint")
+    )
 
 
 def to_float(raw: Column) -> Column:
-    return raw.try_cast("double")
+    return F.when(raw.rlike(NUMBER) | raw.rlike(NOT_FINITE), raw.try_cast("double"))
 
 
 def to_str(raw: Column) -> Column:

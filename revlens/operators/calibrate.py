@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.functions.numbers import clamp, exact_avg, mean, round_half_up, scaled
-from revlens.operators.skew import MAX_HOT_KEYS, MIN_HOT_ROWS, join_totals
+from revlens.operators.skew import join_totals
+from revlens.session import materialise
 
 CENTRE = 3.0
 LOWEST, HIGHEST = 1.0, 5.0
@@ -31,19 +32,26 @@ def calibrated_hundredths() -> Column:
     return scaled(clamp(moved, LOWEST, HIGHEST), 2)
 
 
-def with_user_averages(
-    reviews: DataFrame, max_hot_users: int = MAX_HOT_KEYS, min_hot_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Each review with ``user_avg`` and ``user_reviews``; safe for very active users."""
-    return join_totals(
-        reviews, user_averages(reviews), "user_id", "user_reviews", max_hot_users, min_hot_rows
-    )
+def with_user_averages(reviews: DataFrame, averages: DataFrame | None = None) -> DataFrame:
+    """Each review with ``user_avg`` and ``user_reviews``; safe for very active users.
+
+    ``averages`` is the stored result of ``user_averages``. It is computed and stored if
+    it is not given (starts a job), so that the reviews are read twice and not more.
+    """
+    if averages is None:
+        averages = materialise(user_averages(reviews))
+    return join_totals(reviews, averages, "user_id", "user_reviews")
 
 
-def calibrate(reviews: DataFrame, min_reviews: int = MIN_REVIEWS_PER_USER) -> DataFrame:
-    """Reviews of users with at least ``min_reviews``, with ``calibrated_rating`` added."""
+def calibrate(
+    reviews: DataFrame, min_reviews: int = MIN_REVIEWS_PER_USER, averages: DataFrame | None = None
+) -> DataFrame:
+    """Reviews of users with at least ``min_reviews``, with ``calibrated_rating`` added.
+
+    Starts a job unless ``averages`` are given, see ``with_user_averages``.
+    """
     return (
-        with_user_averages(reviews)
+        with_user_averages(reviews, averages)
         .filter(F.col("user_reviews") >= min_reviews)
         .withColumn("calibrated_rating", calibrated_hundredths() / 100.0)
         .select(*reviews.columns, "calibrated_rating")
@@ -54,16 +62,18 @@ def product_delta(
     reviews: DataFrame,
     min_reviews: int = MIN_REVIEWS_PER_USER,
     more_than: int = MORE_THAN_PER_PRODUCT,
+    averages: DataFrame | None = None,
 ) -> DataFrame:
     """Original and calibrated average per product, and their difference.
 
     Only products with more than ``more_than`` ratings and at least one calibrated
-    rating. Both averages come from one pass over the joined rows.
+    rating. Both averages come from one pass over the joined rows. Starts a job unless
+    ``averages`` are given, see ``with_user_averages``.
     """
     needed = reviews.select("user_id", "asin", "rating")
     calibrated = F.when(F.col("user_reviews") >= min_reviews, calibrated_hundredths())
     per_product = (
-        with_user_averages(needed)
+        with_user_averages(needed, averages)
         .groupBy("asin")
         .agg(
             exact_avg(F.col("rating")).alias("orig_avg"),

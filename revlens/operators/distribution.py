@@ -108,13 +108,16 @@ def equal_width_histogram(reviews: DataFrame, bins: int = 5) -> DataFrame:
     widened by half a star on both sides.
     """
     counts = rating_counts(reviews)
-    lowest, highest = F.min("rating"), F.max("rating")
+    # Reading n here too keeps both uses of the counts alike, so they are computed once.
+    counted = F.when(F.col("n") > 0, F.col("rating"))
+    lowest, highest = F.min(counted), F.max(counted)
     pad = F.when(lowest == highest, 0.5).otherwise(0.0)
     span = counts.agg(F.struct((lowest - pad).alias("low"), (highest + pad).alias("high")).alias("span"))
     spanned = counts.withColumn("_span", span.scalar())
     low, width = F.col("_span.low"), F.col("_span.high") - F.col("_span.low")
-    bin_of = F.least(F.floor((F.col("rating") - low) / width * bins) + 1, F.lit(bins))
-    edges = F.array(*(low + width * b / bins for b in range(bins + 1)))
+    edge = [low + width * b / bins for b in range(bins + 1)]
+    bin_of = sum((F.col("rating") >= e).cast("int") for e in edge[:bins])
+    edges = F.array(*edge)
     return _binned(spanned, bin_of, F.first(edges, ignorenulls=True), bins)
 
 

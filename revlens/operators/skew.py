@@ -18,7 +18,7 @@ def join_totals(
     max_hot_keys: int = MAX_HOT_KEYS,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Left join ``rows`` to ``totals``, which has one row per key of these rows.
+    """Left join ``rows`` to ``totals``, a stored table with one row per key of these rows.
 
     ``size`` is the column of ``totals`` that says how many rows a key has. A key is hot
     when it has more than ``1/max_hot_keys`` of all rows (and more than
@@ -28,9 +28,8 @@ def join_totals(
     that read them.
     """
     values = [c for c in totals.columns if c != key]
-    cut = rows.agg(
-        F.greatest(F.count(F.lit(1)) / max_hot_keys, F.lit(float(min_hot_rows))).alias("cut")
-    ).scalar()
+    row_count = totals.agg(F.sum(size).alias("n")).scalar()
+    cut = F.greatest(row_count / max_hot_keys, F.lit(float(min_hot_rows)))
     packed = totals.filter(F.col(key).isNotNull()).select(
         key, F.struct(*values).alias("_cold"), F.pmod(F.xxhash64(key), F.lit(_LANES)).alias("_lane")
     )

@@ -19,6 +19,7 @@ from revlens.operators import (
     words,
 )
 from revlens.plans import category_comparison
+from revlens.session import spread_small
 from revlens.sources.jsonl import parse_lenient, typed, with_defaults
 from revlens.sources.views import document_reviews, order_reviews, table, thinned_reviews
 
@@ -35,6 +36,10 @@ def _over(view: Callable[[SparkSession, str], DataFrame], operator: Callable[[Da
     return lambda spark, folder: operator(view(spark, folder))
 
 
+def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return document_reviews(spark, folder, spread=True)
+
+
 def _verified_by_votes(reviews: DataFrame) -> DataFrame:
     return summary.rating_by_votes(transform.verified_only(reviews))
 
@@ -89,7 +94,7 @@ def _profiled(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON lines in which types are mixed and sign-ups are not JSON at all."""
-    events = table(spark, folder, "events")
+    events = spread_small(table(spark, folder, "events"), "event_id")
     record = F.struct(
         F.col("value").alias("rating"),
         F.col("event_type").alias("title"),
@@ -150,10 +155,10 @@ def _sample_rating_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # Trends
-    "yearly_trend": _over(order_reviews, trend.yearly),
-    "monthly_trend": _over(order_reviews, lambda r: trend.monthly(r).drop("rating_sum")),
+    "yearly_trend": _over(order_reviews, lambda r: trend.yearly(r, "review_ts")),
+    "monthly_trend": _over(order_reviews, lambda r: trend.monthly(r, "review_ts").drop("rating_sum")),
     "yearly_of_months": _over(order_reviews, lambda r: trend.yearly_of_months(trend.monthly(r))),
-    "trend_total": _over(order_reviews, lambda r: trend.total(trend.yearly(r))),
+    "trend_total": _over(order_reviews, lambda r: trend.total(trend.yearly(r, "review_ts"))),
     # Ratings
     "rating_stats": _over(order_reviews, lambda r: summary.rating_stats(transform.verified_only(r))),
     "rating_by_votes": _over(order_reviews, lambda r: _verified_by_votes(r).orderBy("helpful_vote")),
@@ -192,14 +197,14 @@ QUERIES: dict[str, Query] = {
     "length_by_vote_band": _over(document_reviews, distribution.length_by_vote_band),
     "length_quartiles": _over(document_reviews, distribution.length_quartiles),
     # Words
-    "word_counts": _over(document_reviews, words.word_counts),
-    "top_words": _over(document_reviews, words.top_words),
-    "top_word_max": _over(document_reviews, lambda r: words.highest_frequency(words.top_words(r))),
+    "word_counts": _over(_spread_documents, words.word_counts),
+    "top_words": _over(_spread_documents, words.top_words),
+    "top_word_max": _over(_spread_documents, lambda r: words.highest_frequency(words.top_words(r))),
     # Users and products
     "user_stats": _over(thinned_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),
     "product_avg": _over(order_reviews, summary.product_average),
     "product_avg_calibrated": _over(thinned_reviews, _calibrated_average),
-    "calibrated_reviews": _over(thinned_reviews, calibrate.calibrate),
+    "calibrated_reviews": _over(thinned_reviews, lambda r: calibrate.calibrate(r.drop("review_ts"))),
     "product_delta": _over(thinned_reviews, calibrate.product_delta),
     "top_delta": _over(thinned_reviews, lambda r: calibrate.top_delta(calibrate.product_delta(r))),
     # Reading and sampling

@@ -1,8 +1,9 @@
-"""Session settings the library relies on, and lineage cutting."""
+"""Session settings the library relies on, stored tables and small inputs."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +28,36 @@ def build_session(app_name: str = "revlens", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for data shared by all executors."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        return shared.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="revlens-")
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and store it in the shared checkpoint folder (starts a job).
+    """Compute ``df`` once and read it back from the shared folder (starts a job).
 
-    Used for small tables that several reports read; survives the loss of executors.
+    Used for tables that several later steps read and that are much smaller than the
+    reviews. The lineage ends here, so a lost executor costs no recomputation of it.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/revlens-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute by ``keys`` an input that has fewer splits than there are cores.
+
+    For work that costs much more than reading, such as splitting texts into words. An
+    input with that few splits is small, so the extra shuffle is cheap; any larger input
+    is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

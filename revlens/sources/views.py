@@ -6,13 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.dates import millis_of
+from revlens.session import spread_small
 
 # Part types that count as books in the order view.
 BOOK_TYPES = ("ECONOMY", "STANDARD")
 
 
+# The columns of each table that the queries read.
+SCHEMAS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_returnflag string"
+    ),
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +48,7 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_partkey").cast("string").alias("asin"),
             F.col("o_custkey").cast("string").alias("user_id"),
             millis_of(F.col("o_orderdate")).alias("timestamp"),
+            F.col("o_orderdate").alias("review_ts"),
             ((F.col("l_linenumber") - 1).cast("bigint") * (F.col("l_suppkey") % 20)).alias("helpful_vote"),
             (F.col("l_returnflag") != "R").alias("verified_purchase"),
             F.when(is_book, "book").otherwise("video_game").alias("category"),
@@ -45,10 +64,15 @@ def thinned_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return order_reviews(spark, folder).filter(F.substring(F.md5(name), 1, 4) < "2000")
 
 
-def document_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as reviews with text; unlabelled ones have no verified flag."""
+def document_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """Documents as reviews with text; unlabelled ones have no verified flag.
+
+    ``spread`` shares a small table out among all cores, for work on the words.
+    """
     documents = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    if spread:
+        documents = spread_small(documents, "doc_id")
+    labels = table(spark, folder, "labels")
     return documents.join(labels, "doc_id", "left").select(
         "doc_id",
         (F.lit(1) + F.col("doc_id") % 5).cast("double").alias("rating"),
