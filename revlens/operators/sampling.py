@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 _BUCKETS = 65_536
@@ -21,16 +21,19 @@ def smallest(
     """The ``n`` rows with the smallest whole-number ``place``, in no order (starts jobs).
 
     No task ever sorts or holds the ``n`` rows. Counting rows per bucket of places, then
-    splitting the bucket in which the n-th row falls, narrows the cut down to a few rows;
-    everything below the cut is kept by a filter. ``tie_break`` orders rows of one place.
+    splitting the bucket in which the n-th row falls, narrows the cut down to a few rows.
+    All these passes read the places only; the rows themselves are read once, by a filter
+    on the cut, unless rows repeat right at it. ``tie_break`` orders rows of one place.
     With fewer than ``n`` rows all are returned, or with ``enough`` a ValueError is raised.
     """
     placed = rows.withColumn("_place", place).filter(F.col("_place").isNotNull())
+    if tie_break is not None:
+        placed = placed.withColumn("_tie", tie_break)
     low, high, total = placed.agg(F.min("_place"), F.max("_place"), F.count("_place")).first()
     if n >= total:
         if enough and n > total:
             raise ValueError(f"asked for {n} rows out of {total}")
-        return placed.drop("_place")
+        return placed.drop("_place", "_tie")
     below, in_bucket = 0, total
     while in_bucket > _FEW_ROWS and high > low:
         width = -(-(high - low + 1) // _BUCKETS)
@@ -47,9 +50,22 @@ def smallest(
         low += bucket * width
         high = min(high, low + width - 1)
     inside = placed.filter(F.col("_place").between(low, high))
-    order = ["_place"] if tie_break is None else ["_place", tie_break]
-    chosen = inside.orderBy(*order).limit(n - below)
-    return placed.filter(F.col("_place") < low).unionByName(chosen).drop("_place")
+    order = ["_place"] if tie_break is None else ["_place", "_tie"]
+    left = n - below
+    if in_bucket <= _FEW_ROWS and left > 0:
+        # The last row taken and the one after it; if they differ, one filter does it all.
+        last = inside.select(*order).orderBy(*order).offset(left - 1).limit(2).collect()
+        if len(last) == 1 or last[0] != last[1]:
+            return placed.filter(_up_to(last[0])).drop("_place", "_tie")
+    chosen = inside.orderBy(*order).limit(left)
+    return placed.filter(F.col("_place") < low).unionByName(chosen).drop("_place", "_tie")
+
+
+def _up_to(last: Row) -> Column:
+    place = F.col("_place")
+    if len(last) == 1:
+        return place <= last[0]
+    return (place < last[0]) | ((place == last[0]) & (F.col("_tie") <= last[1]))
 
 
 def head_n(rows: DataFrame, n: int, order_key: str) -> DataFrame:

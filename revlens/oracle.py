@@ -23,12 +23,13 @@ reviews AS (
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey)"""
 
-_THINNED = (
+_FINE = (
     _ORDER_REVIEWS
     + """,
-rt AS (
-  SELECT * FROM reviews
-  WHERE substr(md5(concat(CAST(okey AS VARCHAR), '|', CAST(lno AS VARCHAR), '|42')), 1, 4) < '2000')"""
+fine AS (
+  SELECT * REPLACE (concat(user_id, '-', CAST(year(review_ts) AS VARCHAR)) AS user_id,
+                    concat(asin, '-', CAST(lno AS VARCHAR)) AS asin)
+  FROM reviews)"""
 )
 
 _DOCUMENT_REVIEWS = """
@@ -40,13 +41,13 @@ docs AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 _CALIBRATED = (
-    _THINNED
+    _FINE
     + """,
 averaged AS (
   SELECT *, count(rating) OVER (PARTITION BY user_id) AS user_reviews,
          floor(sum(rating) OVER (PARTITION BY user_id)
                / count(rating) OVER (PARTITION BY user_id) * 100 + 0.5) / 100 AS user_avg
-  FROM rt),
+  FROM fine),
 hundredths AS (
   SELECT *, CAST(floor(greatest(1.0::DOUBLE, least(5.0::DOUBLE, rating + (3.0::DOUBLE - user_avg)))
                        * 100 + 0.5) AS BIGINT) AS cents
@@ -58,7 +59,7 @@ _DELTA = (
     + """,
 before AS (
   SELECT asin, sum(rating) / count(rating) AS orig_avg, count(rating) AS "count"
-  FROM rt GROUP BY asin),
+  FROM fine GROUP BY asin),
 after AS (
   SELECT asin, CAST(sum(cents) AS DOUBLE) / count(cents) / 100 AS calib_avg
   FROM hundredths GROUP BY asin),
@@ -283,11 +284,11 @@ GROUP BY band""",
     "top_words": f"WITH {_WORDS} SELECT star, rank, word, n, freq FROM top",
     "top_word_max": f"WITH {_WORDS} SELECT max(freq) AS max_freq FROM top",
     "user_stats": f"""
-WITH {_THINNED}
+WITH {_FINE}
 SELECT user_id, floor(sum(rating) / count(rating) * 100 + 0.5) / 100 AS avg_rating,
        floor(CAST(sum(helpful_vote) AS DOUBLE) / count(helpful_vote) * 100 + 0.5) / 100 AS avg_helpfulness,
        count(rating) AS review_count
-FROM rt GROUP BY user_id ORDER BY avg_helpfulness DESC, user_id""",
+FROM fine GROUP BY user_id ORDER BY avg_helpfulness DESC, user_id""",
     "product_avg": f"""
 WITH {_ORDER_REVIEWS}
 SELECT asin, sum(rating) / count(rating) AS avg_rating, count(rating) AS n FROM reviews GROUP BY asin""",

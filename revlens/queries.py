@@ -21,7 +21,7 @@ from revlens.operators import (
 from revlens.plans import category_comparison
 from revlens.session import spread_small
 from revlens.sources.jsonl import parse_lenient, typed, with_defaults
-from revlens.sources.views import document_reviews, order_reviews, table, thinned_reviews
+from revlens.sources.views import document_reviews, fine_reviews, order_reviews, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,12 +201,12 @@ QUERIES: dict[str, Query] = {
     "top_words": _over(_spread_documents, words.top_words),
     "top_word_max": _over(_spread_documents, lambda r: words.highest_frequency(words.top_words(r))),
     # Users and products
-    "user_stats": _over(thinned_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),
+    "user_stats": _over(fine_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),
     "product_avg": _over(order_reviews, summary.product_average),
-    "product_avg_calibrated": _over(thinned_reviews, _calibrated_average),
-    "calibrated_reviews": _over(thinned_reviews, lambda r: calibrate.calibrate(r.drop("review_ts"))),
-    "product_delta": _over(thinned_reviews, calibrate.product_delta),
-    "top_delta": _over(thinned_reviews, lambda r: calibrate.top_delta(calibrate.product_delta(r))),
+    "product_avg_calibrated": _over(fine_reviews, _calibrated_average),
+    "calibrated_reviews": _over(fine_reviews, lambda r: calibrate.calibrate(r.drop("review_ts"))),
+    "product_delta": _over(fine_reviews, calibrate.product_delta),
+    "top_delta": _over(fine_reviews, lambda r: calibrate.top_delta(calibrate.product_delta(r))),
     # Reading and sampling
     "ingest_lenient": _ingest_lenient,
     "ingest_defaults": _ingest_defaults,

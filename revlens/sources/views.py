@@ -58,10 +58,17 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def thinned_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """One eighth of the order view, so that the minimum-count rules have an effect."""
-    name = F.concat_ws("|", F.col("okey").cast("string"), F.col("lno").cast("string"), F.lit("42"))
-    return order_reviews(spark, folder).filter(F.substring(F.md5(name), 1, 4) < "2000")
+def fine_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The order view with finer users (buyer and year) and products (part and line).
+
+    Many of them have only a few reviews, so that the minimum-count rules have an effect.
+    """
+    return order_reviews(spark, folder).withColumns(
+        {
+            "user_id": F.concat_ws("-", F.col("user_id"), F.year("review_ts").cast("string")),
+            "asin": F.concat_ws("-", F.col("asin"), F.col("lno").cast("string")),
+        }
+    )
 
 
 def document_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:

@@ -62,4 +62,4 @@ def test_matches_sql(spark, duck, folder, name):
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 39
+    assert contract.entry(spark).count() == 353
