@@ -182,7 +182,7 @@ WITH {_ORDER_REVIEWS}
 SELECT CAST(year(review_ts) AS INTEGER) AS year, CAST(month(review_ts) AS INTEGER) AS month,
        sum(rating) / count(rating) AS avg_rating, count(rating) AS num_ratings,
        strftime(min(review_ts), '%Y-%m') AS label,
-       make_date(CAST(year(review_ts) AS INTEGER), CAST(month(review_ts) AS INTEGER), 1) AS month_start
+       strftime(min(review_ts), '%Y-%m-01') AS month_start
 FROM reviews GROUP BY year(review_ts), month(review_ts) ORDER BY 1, 2""",
     "trend_total": f"WITH {_ORDER_REVIEWS} SELECT count(rating) AS total_ratings FROM reviews",
     "rating_stats": f"WITH {_ORDER_REVIEWS} {_RATING_STATS} FROM reviews WHERE verified_purchase",
@@ -242,7 +242,8 @@ UNION ALL SELECT 'good', count(*) FROM reviews WHERE rating >= 4""",
     "category_union": f"""
 WITH {_DOCUMENT_REVIEWS}
 SELECT doc_id, rating, CASE WHEN category = 'book' THEN title END AS title, helpful_vote,
-       verified_purchase, category, CAST(length(text) AS INTEGER) AS text_length,
+       CAST(verified_purchase AS VARCHAR) AS verified_purchase, category,
+       CAST(length(text) AS INTEGER) AS text_length,
        CAST(CASE WHEN category = 'book' THEN length(title) ELSE 0 END AS INTEGER) AS title_length
 FROM docs""",
     "helpful_by_category": f"WITH {_ORDER_REVIEWS} {_helpful('reviews')}",
@@ -308,8 +309,9 @@ SELECT * FROM (SELECT * FROM delta ORDER BY abs(delta) DESC, asin LIMIT 30) ORDE
     "ingest_lenient": """
 SELECT CAST(trunc(value) AS BIGINT) AS rating, event_type AS title, '' AS text,
        CAST(event_id AS VARCHAR) AS asin, CAST(user_id AS VARCHAR) AS user_id,
-       CAST(ts AS DATE) AS timestamp, CAST(json_extract_string(props, '$.k') AS BIGINT) AS helpful_vote,
-       CASE event_type WHEN 'purchase' THEN true WHEN 'error' THEN NULL ELSE false END AS verified_purchase
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp, CAST(json_extract_string(props, '$.k') AS BIGINT) AS helpful_vote,
+       CASE event_type WHEN 'purchase' THEN 'true' WHEN 'error' THEN NULL ELSE 'false' END
+         AS verified_purchase
 FROM events WHERE event_type <> 'signup'""",
     "ingest_defaults": """
 SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k,

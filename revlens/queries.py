@@ -36,10 +36,20 @@ def _over(view: Callable[[SparkSession, str], DataFrame], operator: Callable[[Da
     return lambda spark, folder: operator(view(spark, folder))
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates and flags with NULLs as text, which compares the same in every engine."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
     return document_reviews(spark, folder, spread=True)
 
 
+def _monthly_trend(reviews: DataFrame) -> DataFrame:
+    months = trend.monthly(reviews, "review_ts").drop("rating_sum")
+    return _as_text(months, "month_start")
+
+
 def _verified_by_votes(reviews: DataFrame) -> DataFrame:
     return summary.rating_by_votes(transform.verified_only(reviews))
 
@@ -84,7 +94,7 @@ def _category_union(spark: SparkSession, folder: str) -> DataFrame:
     books = documents.filter(F.col("category") == "book").drop("category", "images")
     games = documents.filter(F.col("category") == "video_game").drop("category", "images", "title")
     together = transform.union_labelled({"book": books, "video_game": games})
-    return transform.with_lengths(together).drop("text")
+    return _as_text(transform.with_lengths(together).drop("text"), "verified_purchase")
 
 
 def _profiled(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -122,7 +132,8 @@ _INGESTED = {
 
 
 def _ingest_lenient(spark: SparkSession, folder: str) -> DataFrame:
-    return typed(parse_lenient(_event_lines(spark, folder), _INGESTED), _INGESTED)
+    records = typed(parse_lenient(_event_lines(spark, folder), _INGESTED), _INGESTED)
+    return _as_text(records, "timestamp", "verified_purchase")
 
 
 def _ingest_defaults(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,7 +167,7 @@ def _sample_rating_stats(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # Trends
     "yearly_trend": _over(order_reviews, lambda r: trend.yearly(r, "review_ts")),
-    "monthly_trend": _over(order_reviews, lambda r: trend.monthly(r, "review_ts").drop("rating_sum")),
+    "monthly_trend": _over(order_reviews, _monthly_trend),
     "yearly_of_months": _over(order_reviews, lambda r: trend.yearly_of_months(trend.monthly(r))),
     "trend_total": _over(order_reviews, lambda r: trend.total(trend.yearly(r, "review_ts"))),
     # Ratings
