@@ -1,13 +1,20 @@
-"""Samples that depend on keys and seed only, not on the layout of the data."""
+"""Samples that depend on keys and seed only, not on the layout of the data.
+
+To find the n-th row of an order, rows are counted per bucket of the order key, and the
+bucket in which the n-th row falls is split again until it holds a few rows. These passes
+read the key columns only, and no task or driver ever holds the n rows. The rows
+themselves are then read once, by a filter on the key of the n-th row.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKETS = 65_536
+_PREFIX = 4
 _FEW_ROWS = 10_000
-_HASH_DIGITS = 15
+_DIGEST = 32
 
 
 def hash_text(keys: list[str], seed: int) -> Column:
@@ -15,62 +22,46 @@ def hash_text(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))))
 
 
-def smallest(
-    rows: DataFrame, n: int, place: Column, tie_break: Column | None = None, enough: bool = False
-) -> DataFrame:
-    """The ``n`` rows with the smallest whole-number ``place``, in no order (starts jobs).
+def _bucket_of_nth(rows: DataFrame, bucket: Column, n: int) -> tuple | None:
+    """Bucket of the ``n``-th row, its size, and the number of rows before it.
 
-    No task ever sorts or holds the ``n`` rows. Counting rows per bucket of places, then
-    splitting the bucket in which the n-th row falls, narrows the cut down to a few rows.
-    All these passes read the places only; the rows themselves are read once, by a filter
-    on the cut, unless rows repeat right at it. ``tie_break`` orders rows of one place.
-    With fewer than ``n`` rows all are returned, or with ``enough`` a ValueError is raised.
+    None if there are fewer rows. The window runs over at most ``_BUCKETS`` rows and one
+    row reaches the driver.
     """
-    placed = rows.withColumn("_place", place).filter(F.col("_place").isNotNull())
-    if tie_break is not None:
-        placed = placed.withColumn("_tie", tie_break)
-    low, high, total = placed.agg(F.min("_place"), F.max("_place"), F.count("_place")).first()
-    if n >= total:
-        if enough and n > total:
-            raise ValueError(f"asked for {n} rows out of {total}")
-        return placed.drop("_place", "_tie")
-    below, in_bucket = 0, total
-    while in_bucket > _FEW_ROWS and high > low:
-        width = -(-(high - low + 1) // _BUCKETS)
-        counts = (
-            placed.filter(F.col("_place").between(low, high))
-            .groupBy(F.expr(f"(_place - {low}L) div {width}L").alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        # One window over at most _BUCKETS rows; a single row reaches the driver.
-        up_to = F.sum("n").over(Window.orderBy("bucket"))
-        cut = counts.withColumn("up_to", up_to).filter(F.col("up_to") >= n - below)
-        bucket, in_bucket, reached = cut.orderBy("bucket").first()
-        below += reached - in_bucket
-        low += bucket * width
-        high = min(high, low + width - 1)
-    inside = placed.filter(F.col("_place").between(low, high))
-    order = ["_place"] if tie_break is None else ["_place", "_tie"]
-    left = n - below
-    if in_bucket <= _FEW_ROWS and left > 0:
-        # The last row taken and the one after it; if they differ, one filter does it all.
-        last = inside.select(*order).orderBy(*order).offset(left - 1).limit(2).collect()
-        if len(last) == 1 or last[0] != last[1]:
-            return placed.filter(_up_to(last[0])).drop("_place", "_tie")
-    chosen = inside.orderBy(*order).limit(left)
-    return placed.filter(F.col("_place") < low).unionByName(chosen).drop("_place", "_tie")
+    counts = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    up_to = F.sum("n").over(Window.orderBy("bucket"))
+    reached = counts.withColumn("up_to", up_to).filter(F.col("up_to") >= n)
+    first = reached.orderBy("bucket").first()
+    return first and (first.bucket, first.n, first.up_to - first.n)
 
 
-def _up_to(last: Row) -> Column:
-    place = F.col("_place")
-    if len(last) == 1:
-        return place <= last[0]
-    return (place < last[0]) | ((place == last[0]) & (F.col("_tie") <= last[1]))
+def _take(rows: DataFrame, inside: DataFrame, size: int, before: Column, key: str, n: int) -> DataFrame:
+    """All rows ``before`` a bucket and the first ``n`` of the ``size`` rows ``inside`` it."""
+    if size <= _FEW_ROWS:
+        # The last row taken and the one after it; if they differ, one filter does it all.
+        last = inside.select(key).orderBy(key).offset(n - 1).limit(2).collect()
+        if len(last) == 1 or last[0] != last[1]:
+            return rows.filter(F.col(key) <= last[0][0])
+    return rows.filter(before).unionByName(inside.orderBy(key).limit(n))
 
 
 def head_n(rows: DataFrame, n: int, order_key: str) -> DataFrame:
     """The first ``n`` rows by a whole-number key, in order (starts jobs)."""
-    return smallest(rows, n, F.col(order_key).cast("bigint")).orderBy(order_key)
+    key = F.col(order_key)
+    known = rows.filter(key.isNotNull())
+    low, high, size = known.agg(F.min(key), F.max(key), F.count(key)).first()
+    if n >= size or n <= 0:
+        return known.orderBy(order_key).limit(n)
+    inside, left = known, n
+    while size > _FEW_ROWS and high > low:
+        width = -(-(high - low + 1) // _BUCKETS)
+        bucket = F.expr(f"CAST(`{order_key}` - {low}L AS BIGINT) div {width}L")
+        number, size, earlier = _bucket_of_nth(inside, bucket, left)
+        left -= earlier
+        low += number * width
+        high = min(high, low + width - 1)
+        inside = known.filter(key.between(low, high))
+    return _take(known, inside, size, key < low, order_key, left).orderBy(order_key)
 
 
 def sample_exact(rows: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
@@ -78,9 +69,21 @@ def sample_exact(rows: DataFrame, n: int, keys: list[str], seed: int = 42) -> Da
 
     ``keys`` identify a row. Fails if there are fewer than ``n`` rows.
     """
-    digest = hash_text(keys, seed)
-    place = F.conv(F.substring(digest, 1, _HASH_DIGITS), 16, 10).cast("bigint")
-    return smallest(rows, n, place, digest, enough=True)
+    if n <= 0:
+        return rows.limit(0)
+    digested = rows.withColumn("_digest", hash_text(keys, seed))
+    digest = F.col("_digest")
+    inside, left, prefix, size = digested, n, "", None
+    while size is None or (size > _FEW_ROWS and len(prefix) < _DIGEST):
+        bucket = F.substring(digest, len(prefix) + 1, _PREFIX)
+        found = _bucket_of_nth(inside, bucket, left)
+        if found is None:
+            raise ValueError(f"asked for {n} rows, but there are only {rows.count()}")
+        letters, size, earlier = found
+        left -= earlier
+        prefix += letters
+        inside = digested.filter(digest.startswith(prefix))
+    return _take(digested, inside, size, digest < prefix, "_digest", left).drop("_digest")
 
 
 def sample_fraction(

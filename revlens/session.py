@@ -20,6 +20,8 @@ def build_session(app_name: str = "revlens", master: str | None = None, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Hash instead of sort the long side of a join whose other side is small per task.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if master:
         builder = builder.master(master)

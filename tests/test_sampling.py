@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.operators import sampling
-from revlens.operators.sampling import head_n, sample_exact, sample_fraction, smallest
+from revlens.operators.sampling import head_n, sample_exact, sample_fraction
 
 
 @pytest.fixture
 def narrow_cuts(monkeypatch):
     """Force several rounds of narrowing on small tables."""
     monkeypatch.setattr(sampling, "_BUCKETS", 16)
+    monkeypatch.setattr(sampling, "_PREFIX", 1)
     monkeypatch.setattr(sampling, "_FEW_ROWS", 3)
 
 
@@ -53,11 +54,23 @@ def test_head_of_uneven_keys(spark, narrow_cuts, n):
     assert [r.key for r in head_n(rows, n, "key").collect()] == sorted(keys)[:n]
 
 
-def test_smallest_of_one_hot_place(spark, narrow_cuts):
+def test_head_with_one_hot_key(spark, narrow_cuts):
     rows = spark.range(1000).withColumn("place", F.when(F.col("id") < 10, F.col("id")).otherwise(500))
-    got = smallest(rows, 400, F.col("place"))
+    got = head_n(rows, 400, "place")
     assert got.count() == 400
     assert got.filter("place < 500").count() == 10
+    assert head_n(rows.withColumn("place", F.lit(None).cast("long")), 5, "place").count() == 0
+    assert head_n(rows, 0, "place").count() == 0
+
+
+def test_rows_are_read_once_by_a_pushed_filter(spark, capsys):
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    head_n(events, 5000, "event_id").explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("Location: InMemoryFileIndex") == 1
+    assert "LessThanOrEqual(event_id,4999)" in plan
+    sample_exact(events, 500, ["event_id"]).explain("formatted")
+    assert capsys.readouterr().out.count("Location: InMemoryFileIndex") == 1
 
 
 def test_fraction_by_key(spark):
