@@ -313,6 +313,12 @@ SELECT CAST(trunc(value) AS BIGINT) AS rating, event_type AS title, '' AS text,
        CASE event_type WHEN 'purchase' THEN 'true' WHEN 'error' THEN NULL ELSE 'false' END
          AS verified_purchase
 FROM events WHERE event_type <> 'signup'""",
+    "ingest_strict": f"""
+WITH {_DOCUMENT_REVIEWS}
+SELECT doc_id, '' AS asin, '' AS parent_asin, title, text, rating, CAST(0 AS BIGINT) AS timestamp,
+       '' AS user_id, coalesce(verified_purchase, false) AS verified_purchase, helpful_vote,
+       CAST(0 AS INTEGER) AS image_count
+FROM docs""",
     "ingest_defaults": """
 SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k,
        '' AS absent_text, CAST(0 AS DOUBLE) AS absent_number, false AS absent_flag

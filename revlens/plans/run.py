@@ -2,7 +2,8 @@
 
     spark-submit --py-files revlens.zip revlens/plans/run.py --out OUT \\
         --compare book=BOOKS.jsonl --compare video_game=GAMES.jsonl \\
-        --sample FILE --texts FILE --trend FILE --calibrate FILE
+        --sample FILE --texts FILE --trend FILE --calibrate FILE \\
+        --first-lines 5000 FILE --random-lines 50000 FILE
 
 Each option may be left out. Reports go to ``OUT/<analysis>_<UTC time>/<report>``.
 """
@@ -16,20 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.plans.calibration import describe_calibration
 from revlens.plans.category_comparison import compare
-from revlens.plans.sample_statistics import describe_sample
+from revlens.plans.line_samples import save_first_lines, save_random_lines
+from revlens.plans.sample_statistics import SAMPLE_SIZE, SEED, describe, sampled_records
 from revlens.plans.star_texts import describe_texts
 from revlens.plans.trends import describe_trend
-from revlens.schema import REVIEW_FIELDS
 from revlens.session import build_session
 from revlens.sources.csv import stamped_path
-from revlens.sources.jsonl import parse_lenient, read_lenient, read_lines, read_strict, typed
+from revlens.sources.jsonl import read_lenient, read_strict
 
 # Reports that grow with the number of users, products or reviews keep many files.
 _MANY_FILES = {"user_stats", "calibrated_reviews", "product_delta"}
 
-_SAMPLE_FIELDS = {**REVIEW_FIELDS, "rating": "float", "timestamp": "int"}
-_PLACE = ["file", "block", "row"]
-
 
 def analyses(spark: SparkSession, args: argparse.Namespace) -> dict[str, dict[str, DataFrame]]:
     """The reports of every analysis that was asked for."""
@@ -38,9 +36,7 @@ def analyses(spark: SparkSession, args: argparse.Namespace) -> dict[str, dict[st
         named = dict(pair.split("=", 1) for pair in args.compare)
         found["compare"] = compare({name: read_strict(spark, path) for name, path in named.items()})
     if args.sample:
-        raw = parse_lenient(read_lines(spark, args.sample), _SAMPLE_FIELDS)
-        reviews = typed(raw, _SAMPLE_FIELDS, keep=_PLACE)
-        found["sample"] = describe_sample(reviews, _PLACE, args.sample_size, args.seed)
+        found["sample"] = describe(sampled_records(spark, args.sample, args.sample_size, args.seed))
     if args.texts:
         found["texts"] = describe_texts(read_strict(spark, args.texts))
     if args.trend:
@@ -63,15 +59,23 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--compare", action="append", default=[], metavar="CATEGORY=PATH")
     parser.add_argument("--sample", metavar="PATH")
-    parser.add_argument("--sample-size", type=int, default=5000)
-    parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--sample-size", type=int, default=SAMPLE_SIZE)
+    parser.add_argument("--seed", type=int, default=SEED)
     parser.add_argument("--texts", metavar="PATH")
     parser.add_argument("--trend", metavar="PATH")
     parser.add_argument("--calibrate", metavar="PATH")
+    parser.add_argument("--first-lines", nargs=2, metavar=("N", "PATH"))
+    parser.add_argument("--random-lines", nargs=2, metavar=("N", "PATH"))
     args = parser.parse_args(argv)
     spark = build_session("review-analyses")
     for name, reports in analyses(spark, args).items():
         save(reports, stamped_path(args.out, name))
+    if args.first_lines:
+        n, path = args.first_lines
+        save_first_lines(spark, path, stamped_path(args.out, "first_lines"), int(n))
+    if args.random_lines:
+        n, path = args.random_lines
+        save_random_lines(spark, path, stamped_path(args.out, "random_lines"), int(n), args.seed)
 
 
 if __name__ == "__main__":

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from revlens.operators import summary
 from revlens.operators.distribution import equal_width_histogram
 from revlens.operators.sampling import sample_exact
 from revlens.operators.transform import verified_only
 from revlens.session import materialise
+from revlens.sources.jsonl import PLACE, parse_strict, read_lines, with_defaults
 
+SAMPLE_SIZE = 5000
+SEED = 42
 
-def describe_sample(
-    reviews: DataFrame, keys: list[str], n: int = 5000, seed: int = 42
-) -> dict[str, DataFrame]:
-    """All reports over ``n`` reviews drawn by ``keys`` (starts jobs).
 
-    The sample is stored once and read by every report.
+def sampled_records(
+    spark: SparkSession, path: str | list[str], n: int = SAMPLE_SIZE, seed: int = SEED
+) -> DataFrame:
+    """``n`` random records of JSON-lines files, with defaults filled in (starts jobs).
+
+    Lines are drawn by their place, so only the drawn lines are ever parsed.
     """
-    sample = materialise(sample_exact(reviews, n, keys, seed))
+    lines = sample_exact(read_lines(spark, path), n, PLACE, seed)
+    return with_defaults(parse_strict(lines), keep=PLACE)
+
+
+def describe(sample: DataFrame) -> dict[str, DataFrame]:
+    """All reports of a sample, which is stored once and read by each (starts a job)."""
+    sample = materialise(sample)
     verified = verified_only(sample)
     by_votes = summary.rating_by_votes(verified)
     return {
@@ -33,3 +43,10 @@ def describe_sample(
         "length_by_rating": summary.length_by_rating(verified).orderBy("rating"),
         "rating_histogram": equal_width_histogram(verified).orderBy("bin"),
     }
+
+
+def describe_sample(
+    reviews: DataFrame, keys: list[str], n: int = SAMPLE_SIZE, seed: int = SEED
+) -> dict[str, DataFrame]:
+    """All reports over ``n`` reviews of a table, drawn by ``keys`` (starts jobs)."""
+    return describe(sample_exact(reviews, n, keys, seed))

@@ -20,7 +20,7 @@ from revlens.operators import (
 )
 from revlens.plans import category_comparison
 from revlens.session import spread_small
-from revlens.sources.jsonl import parse_lenient, typed, with_defaults
+from revlens.sources.jsonl import parse_lenient, parse_strict, typed, with_defaults
 from revlens.sources.views import document_reviews, fine_reviews, order_reviews, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,13 +136,20 @@ def _ingest_lenient(spark: SparkSession, folder: str) -> DataFrame:
     return _as_text(records, "timestamp", "verified_purchase")
 
 
+def _ingest_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as JSON and read back whole, with defaults for what is missing."""
+    record = F.struct("rating", "title", "text", "images", "helpful_vote", "verified_purchase")
+    lines = document_reviews(spark, folder).select("doc_id", F.to_json(record).alias("value"))
+    return with_defaults(parse_strict(lines), keep=["doc_id"])
+
+
 def _ingest_defaults(spark: SparkSession, folder: str) -> DataFrame:
     """Properties of events, with a default for the field that no record has."""
     fields = {"k": "int", "absent_text": "str", "absent_number": "float", "absent_flag": "bool"}
     lines = table(spark, folder, "events").select("event_id", "props")
     records = typed(parse_lenient(lines, fields, "props"), fields, keep=["event_id"])
-    defaults = {"event_id": 0, "k": 0, "absent_text": "", "absent_number": 0.0, "absent_flag": False}
-    return with_defaults(records, defaults)
+    defaults = {"k": 0, "absent_text": "", "absent_number": 0.0, "absent_flag": False}
+    return with_defaults(records, defaults, keep=["event_id"])
 
 
 def _head_n(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "top_delta": _over(fine_reviews, lambda r: calibrate.top_delta(calibrate.product_delta(r))),
     # Reading and sampling
     "ingest_lenient": _ingest_lenient,
+    "ingest_strict": _ingest_strict,
     "ingest_defaults": _ingest_defaults,
     "head_n": _head_n,
     "sample_exact": _sample_exact,

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from revlens.functions.casts import cast_to
 from revlens.schema import REVIEW_DEFAULTS, REVIEW_FIELDS, REVIEW_SCHEMA
 
+# Columns that tell the place of a line in the input, see read_lines.
+PLACE = ["file", "block", "row"]
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -41,6 +44,16 @@ def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
     return spark.read.text(path).coalesce(1).limit(n)
 
 
+def parse_strict(lines: DataFrame, schema: T.StructType = REVIEW_SCHEMA, column: str = "value") -> DataFrame:
+    """Typed records of JSON lines held in a column; a line that is no record fails the job.
+
+    Other columns of ``lines`` are kept in front.
+    """
+    record = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
+    kept = [c for c in lines.columns if c != column]
+    return lines.select(*kept, F.inline(F.array(record)))
+
+
 def parse_lenient(lines: DataFrame, fields: Iterable[str], column: str = "value") -> DataFrame:
     """One row per line that is a JSON object; every field as raw text.
 
@@ -76,14 +89,21 @@ def read_lenient(
     return typed(parse_lenient(spark.read.text(path), fields), fields)
 
 
-def with_defaults(records: DataFrame, defaults: Mapping[str, object] = REVIEW_DEFAULTS) -> DataFrame:
-    """Fixed projection with a default for each missing field, and the image count."""
+def with_defaults(
+    records: DataFrame,
+    defaults: Mapping[str, object] = REVIEW_DEFAULTS,
+    keep: Iterable[str] = (),
+) -> DataFrame:
+    """Fixed projection with a default for each missing field, and the image count.
+
+    The columns named in ``keep`` come first, unchanged.
+    """
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(defaults[name])).alias(name)
 
     images = [image_count(F.col("images")).alias("image_count")] if "images" in records.columns else []
-    return records.select(*(filled(name) for name in defaults), *images)
+    return records.select(*keep, *(filled(name) for name in defaults), *images)
 
 
 def image_count(images: Column) -> Column:

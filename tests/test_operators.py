@@ -6,6 +6,7 @@ import statistics
 from collections import Counter, defaultdict
 from datetime import date
 
+import numpy
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -137,6 +138,17 @@ def test_equal_width_histogram(spark):
     assert got == [2, 1, 1, 0, 2]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_equal_width_histogram_like_numpy(spark, seed):
+    generator = random.Random(seed)
+    ratings = [generator.randrange(0, 51) / 10 for _ in range(300)]
+    df = frame(spark, [(r,) for r in ratings], "rating double")
+    got = distribution.equal_width_histogram(df).orderBy("bin").collect()
+    counts, _ = numpy.histogram(ratings, bins=[r.low for r in got] + [got[-1].high])
+    assert [r.n for r in got] == counts.tolist()
+    assert (got[0].low, got[-1].high) == (min(ratings), max(ratings))
+
+
 def test_equal_width_histogram_of_one_value(spark):
     df = frame(spark, [(4.0,)] * 3, "rating double")
     got = distribution.equal_width_histogram(df).orderBy("bin").collect()

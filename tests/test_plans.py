@@ -10,7 +10,8 @@ from revlens.operators.transform import union_labelled
 from revlens.plans import run
 from revlens.plans.calibration import describe_calibration
 from revlens.plans.category_comparison import compare
-from revlens.plans.sample_statistics import describe_sample
+from revlens.plans.line_samples import save_random_lines
+from revlens.plans.sample_statistics import describe_sample, sampled_records
 from revlens.plans.star_texts import describe_texts
 from revlens.plans.trends import describe_trend, save_yearly
 from revlens.sources.csv import read_csv
@@ -84,6 +85,40 @@ def test_sample_reports_agree_with_each_other(spark, files):
     assert {r.helpful_vote for r in reports["rating_by_few_votes"].collect()} <= set(range(21))
 
 
+def test_random_lines_keep_the_input_order(spark, tmp_path):
+    path = tmp_path / "lines.jsonl"
+    source = [json.dumps({"i": i, "same": True}) if i % 3 else "{}" for i in range(20_000)]
+    path.write_text("\n".join(source) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        save_random_lines(spark, str(path), str(tmp_path / "out"), 3000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    parts = sorted(p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-"))
+    got = [line for p in parts for line in p.read_text().splitlines()]
+    assert len(got) == 3000
+    numbers = [json.loads(line)["i"] for line in got if line != "{}"]
+    assert numbers == sorted(set(numbers))
+    assert 800 < got.count("{}") < 1200
+
+
+def test_sampled_records_fill_in_defaults(spark, tmp_path):
+    path = tmp_path / "few.jsonl"
+    path.write_text('{"rating": 4.5, "images": [{"u": 1}]}\n{"text": "abc", "verified_purchase": true}\n')
+    got = {r.row: r for r in sampled_records(spark, str(path), 2).collect()}
+    first, second = got[0], got[1]
+    assert (first.rating, first.image_count, first.verified_purchase, first.text) == (4.5, 1, False, "")
+    assert (second.rating, second.image_count, second.verified_purchase, second.text) == (0.0, 0, True, "abc")
+
+
+def test_strict_sample_fails_on_a_bad_line(spark, tmp_path):
+    path = tmp_path / "bad.jsonl"
+    path.write_text('{"rating": 4.5}\nnot json\n')
+    with pytest.raises(Exception):
+        sampled_records(spark, str(path), 2).collect()
+
+
 def test_texts(spark, files):
     reviews = read_strict(spark, files["book"])
     reports = describe_texts(reviews, k=2)
@@ -119,10 +154,15 @@ def test_command_line(spark, files, tmp_path):
     run.main(
         ["--out", str(out), "--compare", f"book={files['book']}", "--compare",
          f"video_game={files['video_game']}", "--sample", files["book"], "--sample-size", "50",
-         "--texts", files["book"], "--trend", files["book"], "--calibrate", files["video_game"]]
+         "--texts", files["book"], "--trend", files["book"], "--calibrate", files["video_game"],
+         "--first-lines", "7", files["book"], "--random-lines", "9", files["book"]]
     )
     folders = {p.name.rsplit("_", 2)[0]: p for p in out.iterdir()}
-    assert set(folders) == {"compare", "sample", "texts", "trend", "calibrate"}
+    analyses = {"compare", "sample", "texts", "trend", "calibrate"}
+    assert set(folders) == analyses | {"first_lines", "random_lines"}
+    source = open(files["book"]).read().splitlines()
+    assert [r.value for r in spark.read.text(str(folders["first_lines"])).collect()] == source[:7]
+    assert spark.read.text(str(folders["random_lines"])).count() == 9
     assert (folders["calibrate"] / "calibrated_reviews" / "_SUCCESS").exists()
     yearly = read_csv(spark, str(folders["trend"] / "yearly"))
     assert sum(r.num_ratings for r in yearly.collect()) == 400
