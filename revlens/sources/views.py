@@ -33,9 +33,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as reviews: buyers are users, parts are products. No text."""
+def order_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """Line items as reviews: buyers are users, parts are products. No text.
+
+    ``spread`` shares a small table out among all cores, by the key of the first join.
+    """
     lines = table(spark, folder, "lineitem")
+    if spread:
+        lines = spread_small(lines, "l_orderkey")
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
     is_book = F.col("p_type").isin(*BOOK_TYPES)
@@ -63,7 +68,7 @@ def fine_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
     Many of them have only a few reviews, so that the minimum-count rules have an effect.
     """
-    return order_reviews(spark, folder).withColumns(
+    return order_reviews(spark, folder, spread=True).withColumns(
         {
             "user_id": F.concat_ws("-", F.col("user_id"), F.year("review_ts").cast("string")),
             "asin": F.concat_ws("-", F.col("asin"), F.col("lno").cast("string")),
