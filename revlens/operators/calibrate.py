@@ -16,10 +16,11 @@ MORE_THAN_PER_PRODUCT = 5
 
 
 def user_averages(reviews: DataFrame) -> DataFrame:
-    """Average rating (two decimals) and number of ratings per user."""
+    """Average rating (two decimals), number of ratings and number of rows per user."""
     return reviews.groupBy("user_id").agg(
         round_half_up(exact_avg(F.col("rating")), 2).alias("user_avg"),
         F.count("rating").alias("user_reviews"),
+        F.count(F.lit(1)).alias("user_rows"),
     )
 
 
@@ -40,7 +41,7 @@ def with_user_averages(reviews: DataFrame, averages: DataFrame | None = None) ->
     """
     if averages is None:
         averages = materialise(user_averages(reviews))
-    return join_totals(reviews, averages, "user_id", "user_reviews")
+    return join_totals(reviews, averages, "user_id", "user_rows").drop("user_rows")
 
 
 def calibrate(

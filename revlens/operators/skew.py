@@ -25,7 +25,7 @@ def join_totals(
     ``min_hot_rows``): there are fewer than ``max_hot_keys`` of them however large the
     data, so their totals are broadcast. All other keys meet their totals in an ordinary
     join, in which hot rows and rows without a key only pass through, spread by the task
-    that read them.
+    that read them. A task that runs again has the same number, so retries change nothing.
     """
     values = [c for c in totals.columns if c != key]
     row_count = totals.agg(F.sum(size).alias("n")).scalar()

@@ -32,7 +32,7 @@ SAMPLE_FRACTION = 0.01
 SEED = 42
 
 
-def _over(view: Callable[[SparkSession, str], DataFrame], operator: Callable[[DataFrame], DataFrame]) -> Query:
+def _over(view: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: operator(view(spark, folder))
 
 
@@ -188,7 +188,9 @@ QUERIES: dict[str, Query] = {
     "bad_split": _over(order_reviews, _bad_split),
     "bad_split_verified": _over(order_reviews, lambda r: _bad_split(transform.verified_only(r))),
     "good_share": _over(order_reviews, lambda r: summary.good_share(transform.verified_only(r))),
-    "rating_pivot": _over(order_reviews, lambda r: distribution.rating_pivot(r, CATEGORIES).orderBy("rating")),
+    "rating_pivot": _over(
+        order_reviews, lambda r: distribution.rating_pivot(r, CATEGORIES).orderBy("rating")
+    ),
     "rating_histogram": _over(order_reviews, distribution.rating_histogram),
     "rating_histogram_eq": _over(order_reviews, distribution.equal_width_histogram),
     "row_count": _over(order_reviews, _row_count),

@@ -17,7 +17,9 @@ PLACE = ["file", "block", "row"]
 _CORRUPT = "_corrupt_record"
 
 
-def read_strict(spark: SparkSession, path: str | list[str], schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
+def read_strict(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = REVIEW_SCHEMA
+) -> DataFrame:
     """Typed records; any line that is not a record of ``schema`` fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 

@@ -56,7 +56,7 @@ def largest_share(df):
 
 def test_hot_keys_are_spread_and_results_unchanged(spark, hot_reviews, shuffled_joins):
     totals = materialise(calibrate.user_averages(hot_reviews))
-    joined = skew.join_totals(hot_reviews, totals, "user_id", "user_reviews", 100, 1000)
+    joined = skew.join_totals(hot_reviews, totals, "user_id", "user_rows", 100, 1000)
     plain = hot_reviews.join(totals, "user_id", "left")
     columns = ["user_id", "asin", "rating", "user_avg", "user_reviews"]
     got, expected = joined.groupBy(*columns).count(), plain.groupBy(*columns).count()
@@ -66,11 +66,19 @@ def test_hot_keys_are_spread_and_results_unchanged(spark, hot_reviews, shuffled_
     assert largest_share(joined) < 0.25
 
 
+def test_hot_user_without_ratings_is_spread_too(spark, hot_reviews, shuffled_joins):
+    unrated = hot_reviews.withColumn("rating", F.when(F.col("user_id") != "hot", F.col("rating")))
+    totals = materialise(calibrate.user_averages(unrated))
+    joined = skew.join_totals(unrated, totals, "user_id", "user_rows", 100, 1000)
+    assert largest_share(joined) < 0.25
+    assert joined.filter("user_id = 'hot' AND user_reviews = 0 AND user_avg IS NULL").count() == 20_000
+
+
 def test_at_most_max_hot_keys_are_broadcast(spark, hot_reviews):
     totals = calibrate.user_averages(hot_reviews).filter("user_id IS NOT NULL")
-    n = totals.agg(F.sum("user_reviews")).first()[0]
+    n = totals.agg(F.sum("user_rows")).first()[0]
     for most in (2, 10, 100):
-        assert totals.filter(F.col("user_reviews") > n / most).count() < most
+        assert totals.filter(F.col("user_rows") > n / most).count() < most
 
 
 def test_words_are_cut_before_the_shuffle_and_counted_once(spark, capsys):
