@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.frames import batch_of, chunks
-from revlens.llm.strings import ranges, segments, utf8
+from revlens.llm.strings import Known, ranges, segments, utf8
 
 # Fixed value: the pattern that byte-level BPE vocabularies cut texts with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT_IDS = 8_000_000
+KEPT_IDS = 6_000_000
+CHUNK_BYTES = 8 << 20
 
 
 def byte_of_character() -> dict[str, int]:
@@ -40,6 +41,11 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _sorted_distinct(parts: list[np.ndarray]) -> np.ndarray:
+    joined = np.sort(np.concatenate(parts))
+    return joined[np.append(True, joined[1:] != joined[:-1])] if len(joined) > 1 else joined
+
+
 class Vocabulary:
     """Merges, ids and special tokens of a tokenizer file of the byte-level kind."""
 
@@ -112,7 +118,8 @@ class Vocabulary:
         while active:
             rank = heapq.heappop(active)
             a, b, new = self.left[rank], self.right[rank], self.merged[rank]
-            found = np.unique(np.concatenate(lists.pop(rank)))
+            held = lists.pop(rank)
+            found = held[0] if len(held) == 1 else _sorted_distinct(held)
             found = found[(symbols[found] == a) & (following[found] >= 0)]
             found = found[symbols[following[found]] == b]
             if a == b:  # of overlapping pairs the left one goes first
@@ -131,7 +138,7 @@ class Vocabulary:
             inner = beyond >= 0
             previous[beyond[inner]] = found[inner]
             before = previous[found]
-            note(np.unique(np.concatenate([found[inner], before[before >= 0]])))
+            note(_sorted_distinct([found[inner], before[before >= 0]]))
         alive = symbols >= 0
         counts = np.append(0, np.cumsum(alive))
         return symbols[alive], counts[ends] - counts[ends - sizes]
@@ -150,35 +157,27 @@ class PieceIds:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.starts, self.sizes, self.ids, self.held = [], [], [], 0
+        self.known = Known()
+        self.starts = np.zeros(1, np.int64)  # of each segment's ids, and the end of the last
+        self.ids = np.zeros(0, np.int32)
 
     def of(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all segments in order, how many each has)."""
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if self.held > KEPT_IDS:
+        if len(self.ids) > KEPT_IDS:
             self.clear()
-        slot = self.slot
-        known = [slot.get(h, -1) for h in distinct.tolist()]
-        missing = [i for i, s in enumerate(known) if s < 0]
-        if missing:
-            at = first[missing]
-            data = raw.tobytes() if len(missing) * 64 > len(raw) else raw
-            texts = [bytes(data[a:b]).decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
+        number = self.known.find(distinct)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            at, data = first[missing], raw.tobytes()
+            texts = [data[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
             ids, sizes = self.encode(texts)
-            base = len(self.sizes)
-            for k, i in enumerate(missing):
-                slot[int(distinct[i])] = known[i] = base + k
-            self.starts.extend((self.held + np.cumsum(sizes) - sizes).tolist())
-            self.sizes.extend(sizes.tolist())
-            self.ids.append(ids.astype(np.int32))
-            self.held += len(ids)
-            self.ids = [np.concatenate(self.ids)]
-        at = np.array(known, np.int64)[inverse]
-        if not len(at):
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        sizes = np.array(self.sizes, np.int64)[at]
-        return self.ids[0][ranges(np.array(self.starts, np.int64)[at], sizes)], sizes
+            number[missing] = self.known.add(distinct[missing])
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes))
+            self.ids = np.append(self.ids, ids.astype(np.int32))
+        number = number[inverse]
+        sizes = self.starts[number + 1] - self.starts[number]
+        return self.ids[ranges(self.starts[number], sizes)], sizes
 
 
 def text_ids(pieces: PieceIds, column: pa.Array, keep_space: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +197,8 @@ def _byte_level(words: Vocabulary):
         slot: dict[str, int] = {}
         order, counts = [], []
         for text in texts:
-            parts = words.specials.split(text) if words.specials else [text]
+            marked = any(name in text for name in words.special)
+            parts = words.specials.split(text) if marked else (text,)
             mine = []
             for part in parts:
                 if part in words.special:
@@ -233,7 +233,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceIds(_byte_level(vocabulary(path)))
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, CHUNK_BYTES):
             ids, bounds = text_ids(pieces, batch.column(1), keep_space=True)
             data = ids.astype("<u4").tobytes()
             cut = [data[a:b] for a, b in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist())]

@@ -209,3 +209,26 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ahead = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - ahead, lengths)
+
+
+class Known:
+    """Numbers of hashes in order of their first sight, in sorted arrays of 12 bytes each."""
+
+    def __init__(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.numbers = np.zeros(0, np.int32)
+
+    def find(self, distinct: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for new ones."""
+        if not len(self.hashes):
+            return np.full(len(distinct), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == distinct, self.numbers[at], -1)
+
+    def add(self, new: np.ndarray) -> np.ndarray:
+        """Take in sorted new hashes; their numbers."""
+        numbers = np.arange(len(self.hashes), len(self.hashes) + len(new), dtype=np.int32)
+        at = np.searchsorted(self.hashes, new)
+        self.hashes = np.insert(self.hashes, at, new)
+        self.numbers = np.insert(self.numbers, at, numbers)
+        return numbers

@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.frames import batch_of, chunks
-from revlens.llm.strings import BYTE_VALUES, mix, prefix_hashes, utf8, windows
+from revlens.llm.strings import BYTE_VALUES, Known, mix, prefix_hashes, utf8, windows
 
 # The space mark, and the penalty of characters without a piece.
 MARK = "▁"
 PENALTY = 10.0
 UNKNOWN_ID = 0
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 
 
 def pieces(path: str) -> list[tuple[str, float]]:
@@ -45,25 +45,31 @@ class Search:
     def __init__(self, vocabulary: list[tuple[str, float]]):
         self.automaton = ahocorasick.Automaton()
         for number, (piece, score) in enumerate(vocabulary):
-            if piece:  # the piece of the unknown id is written as bytes, like unknown characters
-                self.automaton.add_word(piece, (len(piece), score, len(piece.encode()) if number == UNKNOWN_ID else 1))
+            if piece:
+                self.automaton.add_word(piece, (len(piece), score, number == UNKNOWN_ID))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in vocabulary) - PENALTY
+        self.unknown_bytes = len(vocabulary[UNKNOWN_ID][0].encode())
 
     def best(self, word: str) -> tuple[int, float]:
-        """(number of pieces, score) of the best split of one word."""
+        """(number of pieces, score) of the best split of one word.
+
+        Unknown parts in a row are written as bytes, except the unknown piece by itself, which is
+        one token. ``runs`` has 0 where the last part is known, 1 behind that piece, else 2.
+        """
         n = len(word)
         scores: list[float | None] = [0.0] + [None] * n
-        counts = [0] * (n + 1)
-        done, single = 0, False
+        counts, runs = [0] * (n + 1), [0] * (n + 1)
+        done, single, spare = 0, False, self.unknown_bytes - 1
 
         def close(end: int) -> None:
             if not single:
                 score = scores[end - 1] + self.unknown
                 if scores[end] is None or score > scores[end]:
-                    scores[end], counts[end] = score, counts[end - 1] + len(word[end - 1].encode())
+                    ahead = counts[end - 1] + (spare if runs[end - 1] == 1 else 0)
+                    scores[end], counts[end], runs[end] = score, ahead + len(word[end - 1].encode()), 2
 
-        for last, (length, value, count) in self.automaton.iter(word):
+        for last, (length, value, unknown) in self.automaton.iter(word):
             end = last + 1
             while done + 1 < end:
                 done += 1
@@ -72,7 +78,12 @@ class Search:
             begin = end - length
             score = scores[begin] + value
             if scores[end] is None or score > scores[end]:
-                scores[end], counts[end] = score, counts[begin] + count
+                scores[end] = score
+                if unknown:
+                    counts[end] = counts[begin] + (1, 2 * spare + 1, spare + 1)[runs[begin]]
+                    runs[end] = 2 if runs[begin] else 1
+                else:
+                    counts[end], runs[end] = counts[begin] + 1, 0
             single = single or length == 1
         while done < n:
             done += 1
@@ -104,22 +115,24 @@ def count(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: st
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search, known = _search(path), {}
+        search, known, best = _search(path), Known(), np.zeros((0, 2))
         for batch in chunks(batches, 1):
             raw, offsets = utf8(batch.column(1))
-            if len(known) > KEPT_WORDS:
-                known.clear()
+            if len(best) > KEPT_WORDS:
+                known, best = Known(), np.zeros((0, 2))
             totals = np.zeros(len(raw) + 1, np.int64)
             scores = np.zeros(len(raw) + 1)
             for begin, end, hashes in _words(raw, offsets):
                 distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-                found = []
-                for h, a, b in zip(distinct.tolist(), begin[first].tolist(), end[first].tolist()):
-                    best = known.get(h)
-                    if best is None:
-                        best = known[h] = search.best(MARK + raw[a:b].tobytes().decode())
-                    found.append(best)
-                values = np.array(found, float).reshape(-1, 2)[inverse]
+                number = known.find(distinct)
+                missing = np.flatnonzero(number < 0)
+                if len(missing):
+                    at, data = first[missing], raw[begin[0] : end[-1]].tobytes()
+                    places = zip((begin[at] - begin[0]).tolist(), (end[at] - begin[0]).tolist())
+                    found = [search.best(MARK + data[a:b].decode()) for a, b in places]
+                    number[missing] = known.add(distinct[missing])
+                    best = np.concatenate([best, np.array(found, float).reshape(-1, 2)])
+                values = best[number[inverse]]
                 # A word stands where it begins; with its space gone it may begin where it ends.
                 np.add.at(totals, end - 1, values[:, 0].astype(np.int64))
                 np.add.at(scores, end - 1, values[:, 1])
