@@ -30,8 +30,8 @@ from revlens.llm.strings import Known, ranges, segments, utf8
 
 # Fixed value: the pattern that byte-level BPE vocabularies cut texts with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT_IDS = 6_000_000
-CHUNK_BYTES = 8 << 20
+KEPT_IDS = 3_000_000
+CHUNK_BYTES = 4 << 20
 
 
 def byte_of_character() -> dict[str, int]:
