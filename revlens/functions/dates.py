@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MILLIS_PER_DAY = 86_400_000
+# First and last day of the years 1 to 9999; times outside of them have no date.
+_DAYS = (-719_162, 2_932_896)
 
 
 def date_of_millis(millis: Column) -> Column:
-    """UTC date of an epoch-millisecond value."""
-    return F.date_from_unix_date(F.floor(millis / F.lit(MILLIS_PER_DAY)).cast("int"))
+    """UTC date of an epoch-millisecond value; NULL outside of the years 1 to 9999."""
+    days = F.floor(millis / F.lit(MILLIS_PER_DAY))
+    return F.date_from_unix_date(F.when(days.between(*_DAYS), days).cast("int"))
 
 
 def utc_date(df: DataFrame, column: str) -> Column:

@@ -35,17 +35,25 @@ def exact_avg(value: Column) -> Column:
 
 def population_stddev(total: Column, total_sq: Column, n: Column) -> Column:
     """Population standard deviation from a sum, a sum of squares and a count."""
-    total, total_sq = total.cast("double"), total_sq.cast("double")
+    total, total_sq = total.cast("double"), total_sq.cast("double")  # rounded once, at the end
     spread = n * total_sq - total * total
     return F.when(n > 0, F.sqrt(F.greatest(spread, F.lit(0.0))) / n)
 
 
 def sum_of_squares(value: Column) -> Column:
-    """Sum of squares in double: exact up to 2^53 and never overflowing a BIGINT."""
+    """Sum of squares in double: for ratings, whose squares are small."""
     as_double = value.cast("double")
     return F.sum(as_double * as_double)
 
 
+def sum_of_whole(*factors: Column) -> Column:
+    """Sum of a product of whole numbers, exact up to 38 digits whatever the order of rows."""
+    product = factors[0].cast("decimal(38,0)")
+    for factor in factors[1:]:
+        product = (product * factor.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return F.sum(product)
+
+
 def clamp(value: Column, low: float, high: float) -> Column:
     """``value`` held within [low, high]; NULL stays NULL."""
     held = F.greatest(F.lit(low), F.least(F.lit(high), value))

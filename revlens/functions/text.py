@@ -40,10 +40,10 @@ def title_label(name: Column) -> Column:
 
 
 def percent_label(share: Column) -> Column:
-    """A percentage with one decimal, such as ``69.8%``."""
+    """A percentage with one decimal, such as ``12.5%``."""
     return F.format_string("%.1f%%", share)
 
 
 def count_label(n: Column) -> Column:
-    """A whole number with thousands separators, such as ``4,827,273``."""
+    """A whole number with thousands separators, such as ``1,234,567``."""
     return F.format_number(n, 0)

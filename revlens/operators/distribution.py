@@ -13,13 +13,13 @@ from revlens.functions.numbers import mean, scaled
 from revlens.functions.text import length_or_zero
 from revlens.operators.summary import length_by_votes
 
-# Vote bands, lower bound included and upper bound excluded.
+# Vote bands, lower bound included and upper bound excluded; the last is open.
 VOTE_BANDS = (
     ("Low", 0, 20),
     ("Medium-low", 20, 40),
     ("Medium", 40, 60),
     ("Medium-high", 60, 80),
-    ("High", 80, 10_000_000),
+    ("High", 80, None),
 )
 
 
@@ -130,8 +130,9 @@ def length_by_vote_band(reviews: DataFrame) -> DataFrame:
     per_vote = length_by_votes(reviews)
     hundredths = scaled(F.col("avg_length"), 2)
 
-    def band_mean(low: int, high: int) -> Column:
-        inside = F.when((F.col("helpful_vote") >= low) & (F.col("helpful_vote") < high), hundredths)
+    def band_mean(low: int, high: int | None) -> Column:
+        below = F.lit(True) if high is None else F.col("helpful_vote") < high
+        inside = F.when((F.col("helpful_vote") >= low) & below, hundredths)
         return mean(F.sum(inside), F.count(inside)) / 100.0
 
     one_row = per_vote.agg(*(band_mean(low, high).alias(name) for name, low, high in VOTE_BANDS))

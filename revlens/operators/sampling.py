@@ -1,9 +1,10 @@
-"""Samples that depend on keys and seed only, not on the layout of the data.
+"""Samples that depend on the rows' content and the seed only, not on the layout of the data.
 
-To find the n-th row of an order, rows are counted per bucket of the order key, and the
-bucket in which the n-th row falls is split again until it holds a few rows. These passes
-read the key columns only, and no task or driver ever holds the n rows. The rows
-themselves are then read once, by a filter on the key of the n-th row.
+Rows are ordered by a digest. To find the n-th one, rows are counted per bucket of the order,
+and the bucket in which the n-th row falls is split again until it is taken whole; no task or
+driver ever sorts or holds the n rows. Rows that are equal in every column have one digest, and
+any of them may be taken. An exact sample reads its input twice: to count it, and to store the
+rows below a bound that is slightly over the wanted share; the exact cut is made among those.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revlens.session import materialise
+
 _BUCKETS = 65_536
 _PREFIX = 4
-_FEW_ROWS = 10_000
-_DIGEST = 32
+_DIGEST = 64
+_BOUND = 12  # hexadecimal letters that the bound is compared by
 
 
 def hash_text(keys: list[str], seed: int) -> Column:
@@ -22,38 +25,49 @@ def hash_text(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))))
 
 
-def _bucket_of_nth(rows: DataFrame, bucket: Column, n: int) -> tuple | None:
+def _order(rows: DataFrame, keys: list[str], seed: int) -> Column:
+    """The digest of the key, and for equal keys that of the row."""
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(rows.columns))))
+    return F.concat(hash_text(keys, seed), F.md5(content))
+
+
+def _bucket_of_nth(rows: DataFrame, bucket: Column, n: int) -> tuple:
     """Bucket of the ``n``-th row, its size, and the number of rows before it.
 
-    None if there are fewer rows. The window runs over at most ``_BUCKETS`` rows and one
-    row reaches the driver.
+    The window runs over at most ``_BUCKETS`` rows and one row reaches the driver.
     """
     counts = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     up_to = F.sum("n").over(Window.orderBy("bucket"))
-    reached = counts.withColumn("up_to", up_to).filter(F.col("up_to") >= n)
-    first = reached.orderBy("bucket").first()
-    return first and (first.bucket, first.n, first.up_to - first.n)
+    first = counts.withColumn("up_to", up_to).filter(F.col("up_to") >= n).orderBy("bucket").first()
+    return first.bucket, first.n, first.up_to - first.n
 
 
-def _take(rows: DataFrame, inside: DataFrame, size: int, before: Column, key: str, n: int) -> DataFrame:
-    """All rows ``before`` a bucket and the first ``n`` of the ``size`` rows ``inside`` it."""
-    if size <= _FEW_ROWS:
-        # The last row taken and the one after it; if they differ, one filter does it all.
-        last = inside.select(key).orderBy(key).offset(n - 1).limit(2).collect()
-        if len(last) == 1 or last[0] != last[1]:
-            return rows.filter(F.col(key) <= last[0][0])
-    return rows.filter(before).unionByName(inside.orderBy(key).limit(n))
+def _first_by_order(ordered: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by the digest in ``_order``, of at least ``n``."""
+    order, inside, left, prefix = F.col("_order"), ordered, n, ""
+    while len(prefix) < _DIGEST:
+        bucket = F.substring(order, len(prefix) + 1, _PREFIX)
+        letters, size, earlier = _bucket_of_nth(inside, bucket, left)
+        left -= earlier
+        prefix += letters
+        if left == size:
+            return ordered.filter(F.substring(order, 1, len(prefix)) <= prefix)
+        inside = ordered.filter(order.startswith(prefix))
+    return ordered.filter(order < prefix).unionByName(inside.limit(left))  # of equal rows
 
 
 def head_n(rows: DataFrame, n: int, order_key: str) -> DataFrame:
-    """The first ``n`` rows by a whole-number key, in order (starts jobs)."""
+    """The first ``n`` rows by a whole-number key, in order (starts jobs).
+
+    Rows without a key are left out. Of equal keys those with the smaller digest come first.
+    """
     key = F.col(order_key)
     known = rows.filter(key.isNotNull())
     low, high, size = known.agg(F.min(key), F.max(key), F.count(key)).first()
-    if n >= size or n <= 0:
-        return known.orderBy(order_key).limit(n)
+    if n <= 0 or not size:
+        return known.filter(F.lit(False))
     inside, left = known, n
-    while size > _FEW_ROWS and high > low:
+    while left < size and high > low:
         width = -(-(high - low + 1) // _BUCKETS)
         bucket = F.expr(f"CAST(`{order_key}` - {low}L AS BIGINT) div {width}L")
         number, size, earlier = _bucket_of_nth(inside, bucket, left)
@@ -61,29 +75,56 @@ def head_n(rows: DataFrame, n: int, order_key: str) -> DataFrame:
         low += number * width
         high = min(high, low + width - 1)
         inside = known.filter(key.between(low, high))
-    return _take(known, inside, size, key < low, order_key, left).orderBy(order_key)
+    if left >= size:
+        return known.filter(key <= high).orderBy(order_key)
+    ties = _first_by_order(inside.withColumn("_order", _order(rows, [order_key], 0)), left).drop("_order")
+    return known.filter(key < low).unionByName(ties).orderBy(order_key)
 
 
 def sample_exact(rows: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` random rows without replacement, in no order (starts jobs).
 
-    ``keys`` identify a row. Fails if there are fewer than ``n`` rows.
+    ``keys`` decide the draw, then the rest of the row. Fails if there are fewer than ``n`` rows.
     """
     if n <= 0:
         return rows.limit(0)
-    digested = rows.withColumn("_digest", hash_text(keys, seed))
-    digest = F.col("_digest")
-    inside, left, prefix, size = digested, n, "", None
-    while size is None or (size > _FEW_ROWS and len(prefix) < _DIGEST):
-        bucket = F.substring(digest, len(prefix) + 1, _PREFIX)
-        found = _bucket_of_nth(inside, bucket, left)
-        if found is None:
-            raise ValueError(f"asked for {n} rows, but there are only {rows.count()}")
-        letters, size, earlier = found
-        left -= earlier
-        prefix += letters
-        inside = digested.filter(digest.startswith(prefix))
-    return _take(digested, inside, size, digest < prefix, "_digest", left).drop("_digest")
+    return _drawn(rows.withColumn("_order", _order(rows, keys, seed)), n, rows.count()).drop("_order")
+
+
+def sample_repeated(rows: DataFrame, n: int, places: list[str], seed: int = 42) -> DataFrame:
+    """Exactly ``n`` random rows of a table in which rows may be equal but for their ``places``.
+
+    Each of several equal rows is drawn for itself, by its content, seed and number among them.
+    They are counted per content, never sorted, and those drawn get the smallest of their
+    places. Fails if there are fewer than ``n`` rows (starts jobs).
+    """
+    if n <= 0:
+        return rows.limit(0)
+    content = [c for c in rows.columns if c not in places]
+    coded = rows.withColumn("_code", F.md5(F.to_json(F.struct(*content))))
+    counted = materialise(coded.groupBy("_code").agg(F.count(F.lit(1)).alias("_copies")))
+    each = counted.select("_code", F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
+    ordered = each.withColumn("_order", F.concat(hash_text(["_code", "_copy"], seed), "_code"))
+    total = counted.agg(F.sum("_copies")).first()[0] or 0
+    taken = _drawn(ordered, n, total).groupBy("_code").agg(F.count(F.lit(1)).alias("_taken"))
+    first = F.min(F.struct(*places, *content)).alias("_row")
+    found = coded.join(taken, "_code").groupBy("_code", "_taken").agg(first)
+    copies = found.select("_row", F.explode(F.sequence(F.lit(1), "_taken")))
+    return copies.select(*(F.col(f"_row.`{c}`").alias(c) for c in rows.columns))
+
+
+def _drawn(ordered: DataFrame, n: int, total: int) -> DataFrame:
+    """The first ``n`` of ``total`` rows by ``_order``, from a stored part that is slightly larger."""
+    if total < n:
+        raise ValueError(f"asked for {n} rows, but there are only {total}")
+    wanted = n + 6 * n**0.5 + 50
+    while True:
+        bound = int(min(1.0, wanted / total) * 16**_BOUND)
+        below = F.substring("_order", 1, _BOUND) < f"{bound:0{_BOUND}x}" if bound < 16**_BOUND else F.lit(True)
+        near = materialise(ordered.filter(below))
+        if near.count() >= n:
+            return _first_by_order(near, n)
+        wanted *= 2
 
 
 def sample_fraction(

@@ -11,6 +11,7 @@ from revlens.functions.numbers import (
     population_stddev,
     round_half_up,
     sum_of_squares,
+    sum_of_whole,
 )
 from revlens.functions.text import length_or_zero
 from revlens.operators.transform import with_lengths, with_star
@@ -108,7 +109,7 @@ def category_summary(reviews: DataFrame) -> DataFrame:
         exact_avg(rating).alias("avg_rating"),
         population_stddev(F.sum(rating), sum_of_squares(rating), F.count(rating)).alias("stddev_rating"),
         exact_avg(length).alias("avg_review_length"),
-        population_stddev(F.sum(length), sum_of_squares(length), F.count(length)).alias(
+        population_stddev(F.sum(length), sum_of_whole(length, length), F.count(length)).alias(
             "stddev_review_length"
         ),
         exact_avg(F.col("title_length")).alias("avg_title_length"),

@@ -38,8 +38,9 @@ def verified_only(reviews: DataFrame) -> DataFrame:
 
 def with_star(reviews: DataFrame) -> DataFrame:
     """Add ``star``, the rating cut to a whole number, and keep stars 1 to 5."""
-    star = F.col("rating").cast("int")
-    return reviews.withColumn("star", star).filter(F.col("star").between(1, 5))
+    rating = F.col("rating")
+    star = F.when((rating >= 1) & (rating < 6), rating).cast("int")
+    return reviews.withColumn("star", star).filter(F.col("star").isNotNull())
 
 
 def dated_and_rated(reviews: DataFrame, time: str = "timestamp") -> DataFrame:

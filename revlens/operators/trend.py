@@ -20,14 +20,14 @@ def _trend_columns() -> list[Column]:
 
 
 def yearly(reviews: DataFrame, time: str = "timestamp") -> DataFrame:
-    """Average rating and number of ratings per year, in order."""
+    """Average rating and number of ratings per year."""
     year = F.year(utc_date(reviews, time)).alias("year")
     dated = dated_and_rated(reviews, time).select(year, "rating")
-    return dated.groupBy("year").agg(*_trend_columns()).drop("rating_sum").orderBy("year")
+    return dated.groupBy("year").agg(*_trend_columns()).drop("rating_sum")
 
 
 def monthly(reviews: DataFrame, time: str = "timestamp") -> DataFrame:
-    """Average rating, number and sum of ratings per month, in order.
+    """Average rating, number and sum of ratings per month.
 
     ``label`` is ``YYYY-MM`` and ``month_start`` the first day of the month.
     """
@@ -44,7 +44,6 @@ def monthly(reviews: DataFrame, time: str = "timestamp") -> DataFrame:
                 "month_start": F.make_date("year", "month", F.lit(1)),
             }
         )
-        .orderBy("year", "month")
     )
 
 
@@ -56,7 +55,6 @@ def yearly_of_months(months: DataFrame) -> DataFrame:
             mean(F.sum("rating_sum"), F.sum("num_ratings")).alias("avg_rating"),
             F.sum("num_ratings").alias("num_ratings"),
         )
-        .orderBy("year")
     )
 
 

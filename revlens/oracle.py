@@ -275,10 +275,10 @@ SELECT helpful_vote, avg_length FROM per_vote ORDER BY helpful_vote DESC""",
 WITH {_DOCUMENT_REVIEWS}, {_LENGTH_BY_VOTES},
 bands(band, low, high) AS (
   VALUES ('Low', 0, 20), ('Medium-low', 20, 40), ('Medium', 40, 60), ('Medium-high', 60, 80),
-         ('High', 80, 10000000))
+         ('High', 80, NULL))
 SELECT band, CAST(sum(CAST(floor(avg_length * 100 + 0.5) AS BIGINT)) AS DOUBLE)
              / count(avg_length) / 100 AS mean_of_means
-FROM bands LEFT JOIN per_vote ON helpful_vote >= low AND helpful_vote < high
+FROM bands LEFT JOIN per_vote ON helpful_vote >= low AND (high IS NULL OR helpful_vote < high)
 GROUP BY band""",
     "length_quartiles": _QUARTILES,
     "word_counts": f"WITH {_WORDS} SELECT star, word, n FROM counts",

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.functions.numbers import mean, population_stddev
+from revlens.functions.numbers import mean, population_stddev, sum_of_whole
 from revlens.operators.distribution import quartiles_of_counts
 from revlens.operators.summary import verified_columns
 from revlens.operators.transform import union_labelled, with_lengths
@@ -35,10 +35,10 @@ def profile(reviews: DataFrame) -> DataFrame:
 
 
 def summary_of(counted: DataFrame) -> DataFrame:
-    n, length = F.col("n").cast("double"), F.col("text_length").cast("double")
+    n, count, length = F.col("n").cast("double"), F.col("n"), F.col("text_length")
     rated = F.when(F.col("rating").isNotNull(), F.col("n"))
     rating_sum, rating_sq = F.sum(F.col("rating") * n), F.sum(F.col("rating") * F.col("rating") * n)
-    length_sum, length_sq = F.sum(length * n), F.sum(length * length * n)
+    length_sum, length_sq = sum_of_whole(length, count), sum_of_whole(length, length, count)
     return counted.groupBy("category").agg(
         F.sum("n").alias("total_reviews"),
         mean(rating_sum, F.sum(rated)).alias("avg_rating"),

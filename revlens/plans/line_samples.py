@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from revlens.operators.sampling import sample_exact
+from revlens.operators.sampling import sample_repeated
 from revlens.sources.jsonl import PLACE, head_lines, read_lines, write_lines
 
 
@@ -17,4 +17,4 @@ def save_random_lines(
     spark: SparkSession, path: str | list[str], out: str, n: int = 50_000, seed: int = 42
 ) -> None:
     """Write exactly ``n`` random lines in the order of the input (starts jobs)."""
-    write_lines(sample_exact(read_lines(spark, path), n, PLACE, seed).orderBy(*PLACE), out)
+    write_lines(sample_repeated(read_lines(spark, path), n, PLACE, seed).orderBy("file", *PLACE), out)

@@ -21,10 +21,14 @@ from revlens.plans.line_samples import save_first_lines, save_random_lines
 from revlens.plans.sample_statistics import SAMPLE_SIZE, SEED, describe, sampled_records
 from revlens.plans.star_texts import describe_texts
 from revlens.plans.trends import describe_trend
+from revlens.schema import REVIEW_FIELDS
 from revlens.session import build_session
 from revlens.sources.csv import stamped_path
 from revlens.sources.jsonl import read_lenient, read_strict
 
+# The only fields that calibration needs, so the only ones that are parsed.
+CALIBRATION_FIELDS = {name: REVIEW_FIELDS[name] for name in ("user_id", "asin", "rating", "helpful_vote")}
+
 # Reports that grow with the number of users, products or reviews keep many files.
 _MANY_FILES = {"user_stats", "calibrated_reviews", "product_delta"}
 
@@ -42,7 +46,7 @@ def analyses(spark: SparkSession, args: argparse.Namespace) -> dict[str, dict[st
     if args.trend:
         found["trend"] = describe_trend(read_strict(spark, args.trend))
     if args.calibrate:
-        found["calibrate"] = describe_calibration(read_lenient(spark, args.calibrate))
+        found["calibrate"] = describe_calibration(read_lenient(spark, args.calibrate, CALIBRATION_FIELDS))
     return found
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revlens.operators import summary
 from revlens.operators.distribution import equal_width_histogram
-from revlens.operators.sampling import sample_exact
+from revlens.operators.sampling import sample_exact, sample_repeated
 from revlens.operators.transform import verified_only
 from revlens.session import materialise
-from revlens.sources.jsonl import PLACE, parse_strict, read_lines, with_defaults
+from revlens.sources.jsonl import PLACE, not_blank, parse_strict, read_lines, with_defaults
 
 SAMPLE_SIZE = 5000
 SEED = 42
@@ -20,10 +20,11 @@ def sampled_records(
 ) -> DataFrame:
     """``n`` random records of JSON-lines files, with defaults filled in (starts jobs).
 
-    Lines are drawn by their place, so only the drawn lines are ever parsed.
+    Lines are drawn by file and text, so only the drawn lines are ever parsed, and the draw
+    does not depend on how files are split. Blank lines are no records and left out before.
     """
-    lines = sample_exact(read_lines(spark, path), n, PLACE, seed)
-    return with_defaults(parse_strict(lines), keep=PLACE)
+    lines = sample_repeated(not_blank(read_lines(spark, path)), n, PLACE, seed)
+    return with_defaults(parse_strict(lines), keep=["file", *PLACE])
 
 
 def describe(sample: DataFrame) -> dict[str, DataFrame]:

@@ -16,7 +16,7 @@ def describe_trend(reviews: DataFrame, time: str = "timestamp") -> dict[str, Dat
     """
     months = materialise(trend.monthly(reviews, time))
     years = trend.yearly_of_months(months)
-    return {"yearly": years, "monthly": months.orderBy("year", "month"), "total": trend.total(years)}
+    return {"yearly": years.orderBy("year"), "monthly": months.orderBy("year", "month"), "total": trend.total(years)}
 
 
 def save_yearly(reviews: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -19,9 +19,8 @@ from revlens.operators import (
     words,
 )
 from revlens.plans import category_comparison
-from revlens.session import spread_small
 from revlens.sources.jsonl import parse_lenient, parse_strict, typed, with_defaults
-from revlens.sources.views import document_reviews, fine_reviews, order_reviews, table
+from revlens.sources.views import document_reviews, fine_reviews, order_reviews, reviews_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,10 +40,6 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
-def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return document_reviews(spark, folder, spread=True)
-
-
 def _monthly_trend(reviews: DataFrame) -> DataFrame:
     months = trend.monthly(reviews, "review_ts").drop("rating_sum")
     return _as_text(months, "month_start")
@@ -104,7 +99,7 @@ def _profiled(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON lines in which types are mixed and sign-ups are not JSON at all."""
-    events = spread_small(table(spark, folder, "events"), "event_id")
+    events = table(spark, folder, "events")
     record = F.struct(
         F.col("value").alias("rating"),
         F.col("event_type").alias("title"),
@@ -167,15 +162,16 @@ def _sample_fraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample_rating_stats(spark: SparkSession, folder: str) -> DataFrame:
-    sample = sampling.sample_exact(document_reviews(spark, folder), SAMPLE_ROWS, ["doc_id"], SEED)
+    documents = sampling.sample_exact(table(spark, folder, "documents"), SAMPLE_ROWS, ["doc_id"], SEED)
+    sample = reviews_of(documents, table(spark, folder, "labels"))
     return summary.rating_stats(transform.verified_only(sample))
 
 
 QUERIES: dict[str, Query] = {
     # Trends
-    "yearly_trend": _over(order_reviews, lambda r: trend.yearly(r, "review_ts")),
+    "yearly_trend": _over(order_reviews, lambda r: trend.yearly(r, "review_ts").orderBy("year")),
     "monthly_trend": _over(order_reviews, _monthly_trend),
-    "yearly_of_months": _over(order_reviews, lambda r: trend.yearly_of_months(trend.monthly(r))),
+    "yearly_of_months": _over(order_reviews, lambda r: trend.yearly_of_months(trend.monthly(r)).orderBy("year")),
     "trend_total": _over(order_reviews, lambda r: trend.total(trend.yearly(r, "review_ts"))),
     # Ratings
     "rating_stats": _over(order_reviews, lambda r: summary.rating_stats(transform.verified_only(r))),
@@ -217,9 +213,9 @@ QUERIES: dict[str, Query] = {
     "length_by_vote_band": _over(document_reviews, distribution.length_by_vote_band),
     "length_quartiles": _over(document_reviews, distribution.length_quartiles),
     # Words
-    "word_counts": _over(_spread_documents, words.word_counts),
-    "top_words": _over(_spread_documents, words.top_words),
-    "top_word_max": _over(_spread_documents, lambda r: words.highest_frequency(words.top_words(r))),
+    "word_counts": _over(document_reviews, words.word_counts),
+    "top_words": _over(document_reviews, words.top_words),
+    "top_word_max": _over(document_reviews, lambda r: words.highest_frequency(words.top_words(r))),
     # Users and products
     "user_stats": _over(fine_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),
     "product_avg": _over(order_reviews, summary.product_average),

@@ -1,4 +1,4 @@
-"""Session settings the library relies on, stored tables and small inputs."""
+"""Session settings the library relies on, and stored tables."""
 
 from __future__ import annotations
 
@@ -51,15 +51,3 @@ def materialise(df: DataFrame) -> DataFrame:
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute by ``keys`` an input that has fewer splits than there are cores.
-
-    For work that costs much more than reading, such as splitting texts into words. An
-    input with that few splits is small, so the extra shuffle is cheap; any larger input
-    is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

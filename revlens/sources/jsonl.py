@@ -12,7 +12,7 @@ from revlens.functions.casts import cast_to
 from revlens.schema import REVIEW_DEFAULTS, REVIEW_FIELDS, REVIEW_SCHEMA
 
 # Columns that tell the place of a line in the input, see read_lines.
-PLACE = ["file", "block", "row"]
+PLACE = ["block", "row"]
 
 _CORRUPT = "_corrupt_record"
 
@@ -20,7 +20,11 @@ _CORRUPT = "_corrupt_record"
 def read_strict(
     spark: SparkSession, path: str | list[str], schema: T.StructType = REVIEW_SCHEMA
 ) -> DataFrame:
-    """Typed records; any line that is not a record of ``schema`` fails the job."""
+    """Typed records; any line that does not begin with a record of ``schema`` fails the job.
+
+    Checked are the columns that are selected, and that the line begins with an object or an
+    array of objects. Text behind it is not looked at; ``parse_strict`` refuses it.
+    """
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
@@ -49,11 +53,23 @@ def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
 def parse_strict(lines: DataFrame, schema: T.StructType = REVIEW_SCHEMA, column: str = "value") -> DataFrame:
     """Typed records of JSON lines held in a column; a line that is no record fails the job.
 
-    Other columns of ``lines`` are kept in front.
+    Blank lines are left out, and an array of objects gives a record for each. The whole line is
+    checked, text behind the record included. Other columns of ``lines`` are kept in front.
     """
-    record = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
+    line = F.col(column)
+    wrapped = T.StructType([T.StructField("r", T.ArrayType(schema)), T.StructField("end", T.IntegerType())])
+    many = F.ltrim(line).startswith("[")
+    text = F.when(many, F.concat(F.lit('{"r":'), line, F.lit(',"end":1}'))).otherwise(F.concat(F.lit('{"r":['), line, F.lit('],"end":1}')))
+    found = F.from_json(text, wrapped, {"mode": "FAILFAST"})
+    whole = (found["end"] == 1) & F.forall(found["r"], lambda r: r.isNotNull()) & (many | (F.size(found["r"]) == 1))
+    records = F.when(F.coalesce(whole, F.lit(False)), found["r"]).otherwise(F.raise_error(F.concat(F.lit("not a record: "), line)))
     kept = [c for c in lines.columns if c != column]
-    return lines.select(*kept, F.inline(F.array(record)))
+    return not_blank(lines, column).select(*kept, F.inline(records))
+
+
+def not_blank(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that are more than white space."""
+    return lines.filter(F.col(column).rlike(r"\S"))
 
 
 def parse_lenient(lines: DataFrame, fields: Iterable[str], column: str = "value") -> DataFrame:
@@ -63,16 +79,15 @@ def parse_lenient(lines: DataFrame, fields: Iterable[str], column: str = "value"
     ``lines`` are kept in front. The record is unpacked by a generator so that each
     line is parsed once, whatever is filtered and selected afterwards.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*fields, _CORRUPT]])
+    record = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    # The line is put into an object with a mark behind it: what does not end there is broken.
+    schema = T.StructType().add("r", T.ArrayType(record)).add("end", T.StringType()).add(_CORRUPT, T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
-    record = F.from_json(F.col(column), schema, options)
+    line = F.concat(F.lit('{"r":['), F.col(column), F.lit('],"end":"."}'))
     kept = [c for c in lines.columns if c != column]
-    return (
-        lines.filter(F.rtrim(F.col(column)).endswith("}"))
-        .select(*kept, F.inline(F.array(record)))
-        .filter(F.col(_CORRUPT).isNull())
-        .drop(_CORRUPT)
-    )
+    found = lines.select(*kept, F.inline(F.array(F.from_json(line, schema, options))))
+    one = F.col(_CORRUPT).isNull() & (F.col("end") == ".") & (F.size("r") == 1) & F.col("r")[0].isNotNull()
+    return found.filter(one).select(*kept, "r", F.col("r")[0].alias("_record")).select(*kept, "_record.*")
 
 
 def typed(raw: DataFrame, fields: Mapping[str, str], keep: Iterable[str] = ()) -> DataFrame:

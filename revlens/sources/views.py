@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.dates import millis_of
-from revlens.session import spread_small
 
 # Part types that count as books in the order view.
 BOOK_TYPES = ("ECONOMY", "STANDARD")
@@ -33,14 +32,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def order_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
-    """Line items as reviews: buyers are users, parts are products. No text.
-
-    ``spread`` shares a small table out among all cores, by the key of the first join.
-    """
+def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as reviews: buyers are users, parts are products. No text."""
     lines = table(spark, folder, "lineitem")
-    if spread:
-        lines = spread_small(lines, "l_orderkey")
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
     is_book = F.col("p_type").isin(*BOOK_TYPES)
@@ -68,7 +62,7 @@ def fine_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
     Many of them have only a few reviews, so that the minimum-count rules have an effect.
     """
-    return order_reviews(spark, folder, spread=True).withColumns(
+    return order_reviews(spark, folder).withColumns(
         {
             "user_id": F.concat_ws("-", F.col("user_id"), F.year("review_ts").cast("string")),
             "asin": F.concat_ws("-", F.col("asin"), F.col("lno").cast("string")),
@@ -76,15 +70,12 @@ def fine_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def document_reviews(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
-    """Documents as reviews with text; unlabelled ones have no verified flag.
+def document_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as reviews with text; unlabelled ones have no verified flag."""
+    return reviews_of(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
-    ``spread`` shares a small table out among all cores, for work on the words.
-    """
-    documents = table(spark, folder, "documents")
-    if spread:
-        documents = spread_small(documents, "doc_id")
-    labels = table(spark, folder, "labels")
+
+def reviews_of(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return documents.join(labels, "doc_id", "left").select(
         "doc_id",
         (F.lit(1) + F.col("doc_id") % 5).cast("double").alias("rating"),

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from revlens.operators import calibrate, distribution, skew, words
-from revlens.session import materialise, shared_folder, spread_small
+from revlens.queries import QUERIES
+from revlens.session import materialise, shared_folder
 from revlens.sources.views import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -102,7 +103,7 @@ def test_histogram_counts_are_computed_once(spark, capsys):
     assert "ReusedExchange" in plan_of(distribution.equal_width_histogram(reviews), capsys)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_stay_in_the_engine(spark, capsys, name):
     contract.queries()[name](spark, FOLDER).explain()
     plan = capsys.readouterr().out
@@ -132,9 +133,3 @@ def test_stored_tables_go_to_the_shared_folder(spark):
         assert shared_folder(spark) == named.rstrip("/")
         assert location.startswith(named.replace("file://", "").replace("file:", ""))
 
-
-def test_only_small_inputs_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_small(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
-    large = spark.range(0, 100, 1, cores + 1)
-    assert spread_small(large, "id") is large

@@ -11,8 +11,8 @@ from revlens.schema import REVIEW_SCHEMA, YEARLY_SCHEMA
 from revlens.sources import csv, jsonl
 
 EDGE_LINES = [
-    '{"rating": 5.0, "title": "A", "text": "LOVE IT!", "images": [{"u": 1}], "asin": "B1", '
-    '"user_id": "U1", "timestamp": 1452650777000, "helpful_vote": 0, "verified_purchase": true}',
+    '{"rating": 5.0, "title": "A", "text": "Quite loud", "images": [{"u": 1}], "asin": "B1", '
+    '"user_id": "U1", "timestamp": 1400000000000, "helpful_vote": 0, "verified_purchase": true}',
     '{"rating": 4.5, "text": "x <br /><br />y. well-made", "images": [], "asin": "B2", '
     '"user_id": "U2", "timestamp": 0, "helpful_vote": "3", "verified_purchase": "Yes"}',
     "not json",
@@ -34,7 +34,7 @@ def test_lenient_keeps_only_objects(spark, edge_file):
     rows = {r.asin or f"{r.rating}": r for r in jsonl.read_lenient(spark, edge_file).collect()}
     assert set(rows) == {"B1", "B2", "None", "4"}
     first, second, empty, text_rating = rows["B1"], rows["B2"], rows["None"], rows["4"]
-    assert (first.rating, first.timestamp, first.verified_purchase) == (5, date(2016, 1, 13), True)
+    assert (first.rating, first.timestamp, first.verified_purchase) == (5, date(2014, 5, 13), True)
     assert first.images == '[{"u":1}]'
     assert (second.rating, second.timestamp, second.helpful_vote) == (4, date(1970, 1, 1), 3)
     assert second.verified_purchase is True
@@ -66,7 +66,7 @@ def test_lenient_does_not_depend_on_the_session_time_zone(spark, edge_file):
         dates = {r.timestamp for r in jsonl.read_lenient(spark, edge_file).collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert dates == {date(2016, 1, 13), date(1970, 1, 1), None}
+    assert dates == {date(2014, 5, 13), date(1970, 1, 1), None}
 
 
 def test_strict_reads_good_lines_and_fails_on_bad_ones(spark, tmp_path, edge_file):
@@ -112,7 +112,7 @@ def test_strict_scan_reads_only_the_needed_fields(spark, edge_file, capsys):
         (None, "bool", None),
         ("0", "date", date(1970, 1, 1)),
         ("-1", "date", date(1969, 12, 31)),
-        ("1452650777000", "date", date(2016, 1, 13)),
+        ("1400000000000", "date", date(2014, 5, 13)),
         ("", "date", None),
     ],
 )
@@ -173,8 +173,8 @@ def test_csv_refuses_an_existing_path(spark, tmp_path):
 
 
 def test_stamped_path():
-    when = datetime(2025, 12, 2, 7, 9, 43, tzinfo=timezone.utc)
-    assert csv.stamped_path("scheme://bucket/out/", "trend", when) == "scheme://bucket/out/trend_20251202_070943"
+    when = datetime(2031, 4, 5, 6, 7, 8, tzinfo=timezone.utc)
+    assert csv.stamped_path("scheme://bucket/out/", "trend", when) == "scheme://bucket/out/trend_20310405_060708"
 
 
 def test_jsonl_round_trip(spark, tmp_path):
@@ -205,3 +205,48 @@ def test_lines_are_written_unchanged(spark, tmp_path, edge_file):
     jsonl.write_lines(jsonl.head_lines(spark, edge_file, 3), str(tmp_path / "head"))
     got = [r.value for r in spark.read.text(str(tmp_path / "head")).collect()]
     assert got == EDGE_LINES[:3]
+
+
+HARD_LINES = [
+    ('{"a": 1}\t', True),
+    ('{"a": 1}\r', True),
+    ('  {"a": 1}', True),
+    ('{"a": 1} junk}', False),
+    ('{"a": 1}{"a": 2}', False),
+    ('{"a": 1}, {"a": 2}', False),
+    ('{"a": 1}]', False),
+    ("{'a': 1}", False),
+    ("[1]", False),
+    ("null", False),
+    ("  ", False),
+    ('{"a": 1', False),
+]
+
+
+def test_lenient_keeps_whole_objects_only(spark):
+    lines = spark.createDataFrame([(i, line) for i, (line, _) in enumerate(HARD_LINES)], "i int, value string")
+    kept = [r.i for r in jsonl.parse_lenient(lines, ["a"]).orderBy("i").collect()]
+    assert kept == [i for i, (_, good) in enumerate(HARD_LINES) if good]
+
+
+def test_strict_refuses_junk_and_skips_blank_lines(spark):
+    schema = "a int"
+    from pyspark.sql.types import _parse_datatype_string
+
+    def parsed(*lines):
+        frame = spark.createDataFrame([(line,) for line in lines], "value string")
+        return sorted(r.a for r in jsonl.parse_strict(frame, _parse_datatype_string(schema)).collect())
+
+    assert parsed('{"a": 1}', "", "  ", '[{"a": 2}, {"a": 3}]\r') == [1, 2, 3]
+    for bad in ('{"a": 1} trailing', '{"a": 1},{"a": 2}', "null", '{"a": 1}]', "7"):
+        with pytest.raises(Exception):
+            parsed(bad)
+
+
+def test_absurd_times_and_ratings_do_not_end_the_job(spark):
+    from revlens.operators.transform import with_star
+
+    raw = spark.createDataFrame([("999999999999999999",), ("-999999999999999999",)], "timestamp string")
+    assert [r[0] for r in jsonl.typed(raw, {"timestamp": "date"}).collect()] == [None, None]
+    rated = spark.createDataFrame([(1e12,), (float("nan"),), (float("inf"),), (-3.0,), (5.9,), (None,)], "rating double")
+    assert [r.star for r in with_star(rated).collect()] == [5]
