@@ -16,6 +16,8 @@ Any other columns are ignored. One conversation becomes one row, so it must fit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,22 +49,27 @@ def as_chain(rows: DataFrame, tree: str, order: str, role: str, text: str) -> Da
 
 
 def _climb(space: Workspace, nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """([ancestor 2^k steps up of every node that has one], (tree, node, total score of its branch))"""
+    """([ancestor 2^k steps up of every node that has one], (tree, node, total score of its branch))
+
+    A node that has reached its root is put aside and only looked up from then on, so a round
+    costs what still climbs and one long conversation doesn't make all others go on.
+    """
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    reach = space.put(
+    state = space.put(
         nodes.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.col("score").alias("total"))
     )
-    limit, jumps = reach.count(), []
+    limit, jumps, arrived = state.count(), [], []
     while True:
-        jump = reach.where("up is not null")
-        if jump.isEmpty():
-            return jumps, reach.select("tree", "node", "total")
-        if 1 << len(jumps) > limit:  # what still climbs is on a cycle or below one
-            return jumps, reach.where("up is null").select("tree", "node", "total")
-        jumps.append(jump.select("tree", "node", "up"))
-        above = reach.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"))
-        reach = space.put(
-            reach.join(above, ["tree", "up"], "left").select("tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"))
+        climbing = state.where("up is not null")
+        arrived.append(state.where("up is null"))
+        # Beyond the limit, what still climbs is on a cycle or below one.
+        if climbing.isEmpty() or 1 << len(jumps) > limit:
+            return jumps, reduce(DataFrame.union, arrived).select("tree", "node", "total")
+        jumps.append(climbing.select("tree", "node", "up"))
+        known = reduce(DataFrame.union, [climbing, *arrived])
+        above = known.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"))
+        state = space.put(
+            climbing.join(above, ["tree", "up"], "left").select("tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"))
         )
 
 
