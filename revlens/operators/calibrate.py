@@ -68,10 +68,13 @@ def product_delta(
     """Original and calibrated average per product, and their difference.
 
     Only products with more than ``more_than`` ratings and at least one calibrated
-    rating. Both averages come from one pass over the joined rows. Starts a job unless
-    ``averages`` are given, see ``with_user_averages``.
+    rating. Both averages come from one pass over the joined rows. Without ``averages``
+    the three columns needed are stored first and the averages are computed from them, so
+    that ``reviews`` are read and parsed once (starts two jobs).
     """
     needed = reviews.select("user_id", "asin", "rating")
+    if averages is None:
+        needed = materialise(needed)
     calibrated = F.when(F.col("user_reviews") >= min_reviews, calibrated_hundredths())
     per_product = (
         with_user_averages(needed, averages)

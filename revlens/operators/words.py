@@ -12,14 +12,26 @@ from revlens.functions.text import JUNK_TOKENS, STOP_WORDS, tokens
 from revlens.operators.transform import with_star
 
 
-def word_counts(reviews: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """Occurrences of each word in the texts of each star rating: ``star, word, n``."""
-    words = with_star(reviews).select("star", F.explode(tokens(F.col("text"))).alias("word"))
-    kept = words.filter(~F.col("word").isin(*JUNK_TOKENS, *stop_words))
-    return kept.groupBy("star", "word").agg(F.count(F.lit(1)).alias("n"))
-
+def word_counts(reviews: DataFrame, stop_words: Sequence[str] | DataFrame = STOP_WORDS) -> DataFrame:
+    """Occurrences of each word in the texts of each star rating: ``star, word, n``.
 
-def top_words(reviews: DataFrame, k: int = 10, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+    A long list of stop words is given as a DataFrame, its first column holding the words.
+    They are taken out of the counts by an anti join; whether they are few enough to be
+    broadcast is left to the engine, which knows the size of the list.
+    """
+    words = with_star(reviews).select("star", F.explode(tokens(F.col("text"))).alias("word"))
+    listed = () if isinstance(stop_words, DataFrame) else stop_words
+    kept = words.filter(~F.col("word").isin(*JUNK_TOKENS, *listed))
+    counts = kept.groupBy("star", "word").agg(F.count(F.lit(1)).alias("n"))
+    if isinstance(stop_words, DataFrame):
+        known = stop_words.select(F.col(stop_words.columns[0]).alias("word"))
+        counts = counts.join(known, "word", "left_anti").select("star", "word", "n")
+    return counts
+
+
+def top_words(
+    reviews: DataFrame, k: int = 10, stop_words: Sequence[str] | DataFrame = STOP_WORDS
+) -> DataFrame:
     """The ``k`` most frequent words of each star rating and their share of its words.
 
     Ranks come from a window that carries nothing but the rank, so every task cuts its

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 _ORDER_REVIEWS = """
 reviews AS (
-  SELECT CAST(1 + CAST(floor(l_quantity) AS BIGINT) % 5 AS DOUBLE) AS rating,
+  SELECT CASE WHEN CAST(floor(l_quantity) AS BIGINT) <> 13
+              THEN CAST(CAST(floor(l_quantity) AS BIGINT) % 11 AS DOUBLE) / 2 END AS rating,
          p_name AS title,
          CAST(l_partkey AS VARCHAR) AS asin,
-         CAST(o_custkey AS VARCHAR) AS user_id,
-         epoch_ms(o_orderdate) AS timestamp,
-         o_orderdate AS review_ts,
-         CAST(l_linenumber - 1 AS BIGINT) * (l_suppkey % 20) AS helpful_vote,
+         CASE WHEN o_custkey % 89 = 0 THEN '' WHEN o_custkey % 97 = 0 THEN NULL
+              ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
+         CASE WHEN o_orderkey % 101 <> 0 THEN epoch_ms(o_orderdate) END AS timestamp,
+         CASE WHEN o_orderkey % 101 <> 0 THEN o_orderdate END AS review_ts,
+         CASE WHEN l_orderkey % 499 = 0 THEN 20000000
+              ELSE CAST(l_linenumber - 1 AS BIGINT) * (l_suppkey % 20) END AS helpful_vote,
          l_returnflag <> 'R' AS verified_purchase,
          CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'book' ELSE 'video_game' END AS category,
          l_orderkey AS okey,
@@ -27,16 +30,19 @@ _FINE = (
     _ORDER_REVIEWS
     + """,
 fine AS (
-  SELECT * REPLACE (concat(user_id, '-', CAST(year(review_ts) AS VARCHAR)) AS user_id,
+  SELECT * REPLACE (user_id || '-' || coalesce(CAST(year(review_ts) AS VARCHAR), '?') AS user_id,
                     concat(asin, '-', CAST(lno AS VARCHAR)) AS asin)
   FROM reviews)"""
 )
 
 _DOCUMENT_REVIEWS = """
 docs AS (
-  SELECT d.doc_id, CAST(1 + d.doc_id % 5 AS DOUBLE) AS rating, d.source AS title, d.text AS text,
+  SELECT d.doc_id, CASE WHEN d.doc_id % 37 <> 0 THEN CAST(d.doc_id % 12 AS DOUBLE) / 2 END AS rating,
+         d.source AS title, d.text AS text,
          CASE WHEN d.lang = 'en' THEN 'book' ELSE 'video_game' END AS category,
-         CAST(d.doc_id % 7 AS BIGINT) * (d.doc_id % 17) AS helpful_vote,
+         CASE WHEN d.doc_id % 61 = 0 THEN d.doc_id + 10000000
+              ELSE CAST(d.doc_id % 7 AS BIGINT) * (d.doc_id % 17) END AS helpful_vote,
+         CASE WHEN d.doc_id % 9 <> 0 THEN CAST(d.doc_id % 4 AS INTEGER) ELSE 0 END AS image_count,
          l.quality = 1 AS verified_purchase
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
@@ -49,9 +55,9 @@ averaged AS (
                / count(rating) OVER (PARTITION BY user_id) * 100 + 0.5) / 100 AS user_avg
   FROM fine),
 hundredths AS (
-  SELECT *, CAST(floor(greatest(1.0::DOUBLE, least(5.0::DOUBLE, rating + (3.0::DOUBLE - user_avg)))
-                       * 100 + 0.5) AS BIGINT) AS cents
-  FROM averaged WHERE user_reviews >= 3)"""
+  SELECT *, CASE WHEN rating IS NOT NULL THEN CAST(floor(greatest(1.0::DOUBLE,
+              least(5.0::DOUBLE, rating + (3.0::DOUBLE - user_avg))) * 100 + 0.5) AS BIGINT) END AS cents
+  FROM averaged WHERE user_reviews >= 3 AND user_id IS NOT NULL)"""
 )
 
 _DELTA = (
@@ -66,7 +72,7 @@ after AS (
 delta AS (
   SELECT before.asin, orig_avg, calib_avg, calib_avg - orig_avg AS delta, "count"
   FROM before JOIN after ON before.asin = after.asin
-  WHERE "count" > 5)"""
+  WHERE "count" > 5 AND calib_avg IS NOT NULL)"""
 )
 
 # The default stop words.
@@ -98,6 +104,13 @@ top AS (
   FROM ranked WHERE rank <= 10)"""
 )
 
+# The same with the words of the benchmark as stop words.
+_WORDS_LISTED = _WORDS.replace(
+    f"({_STOP_WORDS})",
+    """(
+    SELECT unnest(string_split(lower(text), ' ')) FROM benchmark)""",
+)
+
 _LENGTH_BY_VOTES = """
 per_vote AS (
   SELECT helpful_vote,
@@ -127,7 +140,7 @@ SELECT category, count(*) AS total_reviews,
        CAST(sum(helpful_vote) AS DOUBLE) / count(*) AS avg_helpful_votes,
        CAST(sum(helpful_vote) AS BIGINT) AS total_helpful_votes,
        CAST(sum(CASE WHEN verified_purchase THEN 1 ELSE 0 END) AS BIGINT) AS verified_purchases,
-       CAST(0 AS DOUBLE) AS avg_images_per_review
+       CAST(sum(image_count) AS DOUBLE) / count(*) AS avg_images_per_review
 FROM docs GROUP BY category ORDER BY category"""
 
 _QUARTILES = f"""
@@ -145,7 +158,7 @@ FROM sorted"""
 _YEARLY = """
 SELECT CAST(year(review_ts) AS INTEGER) AS year, sum(rating) / count(rating) AS avg_rating,
        count(rating) AS num_ratings
-FROM reviews GROUP BY ALL ORDER BY 1"""
+FROM reviews WHERE review_ts IS NOT NULL AND rating IS NOT NULL GROUP BY ALL ORDER BY 1"""
 
 _BY_VOTES = """
 SELECT helpful_vote, sum(rating) / count(rating) AS avg_rating, count(rating) AS n
@@ -183,23 +196,26 @@ SELECT CAST(year(review_ts) AS INTEGER) AS year, CAST(month(review_ts) AS INTEGE
        sum(rating) / count(rating) AS avg_rating, count(rating) AS num_ratings,
        strftime(min(review_ts), '%Y-%m') AS label,
        strftime(min(review_ts), '%Y-%m-01') AS month_start
-FROM reviews GROUP BY year(review_ts), month(review_ts) ORDER BY 1, 2""",
-    "trend_total": f"WITH {_ORDER_REVIEWS} SELECT count(rating) AS total_ratings FROM reviews",
+FROM reviews WHERE review_ts IS NOT NULL AND rating IS NOT NULL
+GROUP BY year(review_ts), month(review_ts) ORDER BY 1, 2""",
+    "trend_total": f"""
+WITH {_ORDER_REVIEWS} SELECT count(rating) AS total_ratings FROM reviews WHERE review_ts IS NOT NULL""",
     "rating_stats": f"WITH {_ORDER_REVIEWS} {_RATING_STATS} FROM reviews WHERE verified_purchase",
     "rating_by_votes": f"WITH {_ORDER_REVIEWS} {_BY_VOTES} ORDER BY helpful_vote",
     "rating_by_votes_head": f"WITH {_ORDER_REVIEWS} {_BY_VOTES} ORDER BY helpful_vote LIMIT 10",
-    "rating_by_votes_capped": f"WITH {_ORDER_REVIEWS} {_BY_VOTES} HAVING helpful_vote <= 20",
+    "rating_by_votes_capped": f"WITH {_ORDER_REVIEWS} {_BY_VOTES} HAVING helpful_vote <= 20 AND count(rating) > 0",
     "good_split": f"""
 WITH {_ORDER_REVIEWS}
 SELECT CASE WHEN rating >= 4 THEN 1 ELSE 0 END AS is_good, count(*) AS n
-FROM reviews WHERE verified_purchase GROUP BY 1""",
+FROM reviews WHERE verified_purchase AND rating IS NOT NULL GROUP BY 1""",
     "bad_split": f"""
 WITH {_ORDER_REVIEWS}
-SELECT CASE WHEN rating < 3 THEN 1 ELSE 0 END AS is_bad, count(*) AS n FROM reviews GROUP BY 1""",
+SELECT CASE WHEN rating < 3 THEN 1 ELSE 0 END AS is_bad, count(*) AS n
+FROM reviews WHERE rating IS NOT NULL GROUP BY 1""",
     "bad_split_verified": f"""
 WITH {_ORDER_REVIEWS}
 SELECT CASE WHEN rating < 3 THEN 1 ELSE 0 END AS is_bad, count(*) AS n
-FROM reviews WHERE verified_purchase GROUP BY 1""",
+FROM reviews WHERE verified_purchase AND rating IS NOT NULL GROUP BY 1""",
     "good_share": f"""
 WITH {_ORDER_REVIEWS},
 counted AS (
@@ -283,6 +299,8 @@ GROUP BY band""",
     "length_quartiles": _QUARTILES,
     "word_counts": f"WITH {_WORDS} SELECT star, word, n FROM counts",
     "top_words": f"WITH {_WORDS} SELECT star, rank, word, n, freq FROM top",
+    "top_words_listed": f"""
+WITH {_WORDS_LISTED} SELECT star, rank, word, n, freq FROM top""",
     "top_word_max": f"WITH {_WORDS} SELECT max(freq) AS max_freq FROM top",
     "user_stats": f"""
 WITH {_FINE}
@@ -307,17 +325,18 @@ FROM hundredths""",
 WITH {_DELTA}
 SELECT * FROM (SELECT * FROM delta ORDER BY abs(delta) DESC, asin LIMIT 30) ORDER BY orig_avg, asin""",
     "ingest_lenient": """
-SELECT CAST(trunc(value) AS BIGINT) AS rating, event_type AS title, '' AS text,
+SELECT CASE WHEN event_id % 16 NOT IN (8, 9) THEN CAST(trunc(value) AS BIGINT) END AS rating, event_type AS title, '' AS text,
        CAST(event_id AS VARCHAR) AS asin, CAST(user_id AS VARCHAR) AS user_id,
-       CAST(CAST(ts AS DATE) AS VARCHAR) AS timestamp, CAST(json_extract_string(props, '$.k') AS BIGINT) AS helpful_vote,
+       CASE WHEN event_id % 16 <> 7 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS timestamp,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS helpful_vote,
        CASE event_type WHEN 'purchase' THEN 'true' WHEN 'error' THEN NULL ELSE 'false' END
          AS verified_purchase
-FROM events WHERE event_type <> 'signup'""",
+FROM events WHERE event_type <> 'signup' AND event_id % 16 NOT IN (2, 3, 4, 5, 6, 10)""",
     "ingest_strict": f"""
 WITH {_DOCUMENT_REVIEWS}
-SELECT doc_id, '' AS asin, '' AS parent_asin, title, text, rating, CAST(0 AS BIGINT) AS timestamp,
+SELECT doc_id, '' AS asin, '' AS parent_asin, title, text, coalesce(rating, 0) AS rating, CAST(0 AS BIGINT) AS timestamp,
        '' AS user_id, coalesce(verified_purchase, false) AS verified_purchase, helpful_vote,
-       CAST(0 AS INTEGER) AS image_count
+       image_count
 FROM docs""",
     "ingest_defaults": """
 SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k,
@@ -329,6 +348,14 @@ SELECT event_id, user_id, event_type, value, props FROM events ORDER BY event_id
 SELECT * FROM (SELECT doc_id, text, lang, source, n_chars FROM documents
                ORDER BY {_SAMPLE_ORDER} LIMIT 150)
 ORDER BY doc_id""",
+    "sample_lines": """
+WITH lines AS (SELECT concat(event_type, ' ', CAST(user_id AS VARCHAR)) AS value FROM events),
+coded AS (
+  SELECT value, md5(concat('{"value":"', value, '"}')) AS code, row_number() OVER (PARTITION BY value) AS copy
+  FROM lines)
+SELECT value FROM (
+  SELECT value FROM coded ORDER BY concat(md5(concat(code, '|', CAST(copy AS VARCHAR), '|42')), code) LIMIT 150)
+ORDER BY value""",
     "sample_fraction": """
 SELECT event_id, user_id, event_type, value, props FROM events
 WHERE substr(md5(concat(CAST(event_id AS VARCHAR), '|42')), 1, 8) < '028f5c28'""",

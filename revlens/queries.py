@@ -98,20 +98,37 @@ def _profiled(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as JSON lines in which types are mixed and sign-ups are not JSON at all."""
+    """Events as JSON lines in which types are mixed; sign-ups are not JSON at all.
+
+    Some lines end in white space and are valid; some are blank, single-quoted, arrays, two
+    records, or a record with something behind it, and are not. Some values are absurd.
+    """
     events = table(spark, folder, "events")
+    kind = F.col("event_id") % 16
+    absurd = F.when(kind == 8, F.lit(float("nan"))).when(kind == 9, F.lit(1e300))
     record = F.struct(
-        F.col("value").alias("rating"),
+        F.coalesce(absurd, F.col("value")).alias("rating"),
         F.col("event_type").alias("title"),
         F.col("event_id").cast("string").alias("asin"),
         F.col("user_id").alias("user_id"),
-        millis_of(F.col("ts")).alias("timestamp"),
+        F.when(kind == 7, F.lit(999_999_999_999_999_999)).otherwise(millis_of(F.col("ts"))).alias("timestamp"),
         F.get_json_object("props", "$.k").alias("helpful_vote"),
         F.when(F.col("event_type") == "purchase", "Yes").when(F.col("event_type") == "error", "")
         .otherwise("no").alias("verified_purchase"),
     )
     line = F.when(F.col("event_type") == "signup", F.col("event_type")).otherwise(F.to_json(record))
-    return events.select(line.alias("value"))
+    changed = (
+        F.when(kind == 0, F.concat(line, F.lit("\t")))
+        .when(kind == 1, F.concat(line, F.lit("\r")))
+        .when(kind == 2, F.concat(line, F.lit(" junk}")))
+        .when(kind == 3, F.concat(line, line))
+        .when(kind == 4, F.replace(line, F.lit('"'), F.lit("'")))
+        .when(kind == 5, F.concat(F.lit("["), line, F.lit("]")))
+        .when(kind == 6, F.lit("  "))
+        .when(kind == 10, F.concat(line, F.lit("]")))
+        .otherwise(line)
+    )
+    return events.select(changed.alias("value"))
 
 
 _INGESTED = {
@@ -132,9 +149,14 @@ def _ingest_lenient(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingest_strict(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents written as JSON and read back whole, with defaults for what is missing."""
+    """Documents written as JSON and read back whole, with defaults for what is missing.
+
+    Every fifth document has a blank line behind it, which is no record.
+    """
     record = F.struct("rating", "title", "text", "images", "helpful_vote", "verified_purchase")
-    lines = document_reviews(spark, folder).select("doc_id", F.to_json(record).alias("value"))
+    line = F.to_json(record)
+    pair = F.when(F.col("doc_id") % 5 == 0, F.array(line, F.lit(" "))).otherwise(F.array(line))
+    lines = document_reviews(spark, folder).select("doc_id", F.explode(pair).alias("value"))
     return with_defaults(parse_strict(lines), keep=["doc_id"])
 
 
@@ -147,6 +169,12 @@ def _ingest_defaults(spark: SparkSession, folder: str) -> DataFrame:
     return with_defaults(records, defaults, keep=["event_id"])
 
 
+def _top_words_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stop words are a table: all words of the benchmark's texts."""
+    listed = table(spark, folder, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word"))
+    return words.top_words(document_reviews(spark, folder), stop_words=listed.distinct())
+
+
 def _head_n(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.head_n(table(spark, folder, "events").drop("ts"), HEAD_ROWS, "event_id")
 
@@ -156,6 +184,13 @@ def _sample_exact(spark: SparkSession, folder: str) -> DataFrame:
     return sample.orderBy("doc_id")
 
 
+def _sample_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines drawn by their text, many of them repeated."""
+    value = F.concat_ws(" ", "event_type", F.col("user_id").cast("string"))
+    lines = table(spark, folder, "events").select(value.alias("value"), "event_id")
+    return sampling.sample_repeated(lines, SAMPLE_ROWS, ["event_id"], SEED).select("value").orderBy("value")
+
+
 def _sample_fraction(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").drop("ts")
     return sampling.sample_fraction(events, SAMPLE_FRACTION, SEED, ["event_id"])
@@ -215,6 +250,7 @@ QUERIES: dict[str, Query] = {
     # Words
     "word_counts": _over(document_reviews, words.word_counts),
     "top_words": _over(document_reviews, words.top_words),
+    "top_words_listed": _top_words_listed,
     "top_word_max": _over(document_reviews, lambda r: words.highest_frequency(words.top_words(r))),
     # Users and products
     "user_stats": _over(fine_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),
@@ -230,5 +266,6 @@ QUERIES: dict[str, Query] = {
     "head_n": _head_n,
     "sample_exact": _sample_exact,
     "sample_fraction": _sample_fraction,
+    "sample_lines": _sample_lines,
     "sample_rating_stats": _sample_rating_stats,
 }

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_STORED: list[tuple[SparkSession, str]] = []
+
+
 def build_session(app_name: str = "revlens", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the operators are written for.
 
@@ -31,12 +35,16 @@ def build_session(app_name: str = "revlens", master: str | None = None, **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for data shared by all executors."""
+    """The folder that the cluster names for data shared by all executors.
+
+    A local session without one gets a folder of its own, which it keeps.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="revlens-")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="revlens-"))
+        return shared_folder(spark)
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
@@ -45,9 +53,23 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Used for tables that several later steps read and that are much smaller than the
     reviews. The lineage ends here, so a lost executor costs no recomputation of it.
+    The table is there until ``remove_stored`` or the end of Python.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/revlens-{uuid.uuid4().hex}"
+    if not _STORED:
+        atexit.register(remove_stored)
+    _STORED.append((spark, folder))
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
+
+def remove_stored() -> None:
+    """Delete all tables that ``materialise`` has stored; results built on them end here."""
+    while _STORED:
+        spark, folder = _STORED.pop()
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # the session's JVM is gone; its cluster cleans the folder up
+            _STORED.clear()

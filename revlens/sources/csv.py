@@ -11,15 +11,15 @@ from revlens.schema import YEARLY_SCHEMA
 
 
 def write_csv(
-    table: DataFrame, path: str, order_by: list[str], mode: str = "overwrite", one_file: bool = False
+    table: DataFrame, path: str, order_by: list[str] | None = None, mode: str = "overwrite", one_file: bool = False
 ) -> None:
-    """Write a table with a header line, sorted by ``order_by`` (starts a job).
+    """Write a table with a header line (starts a job), sorted by ``order_by`` if given.
 
     With ``one_file`` everything passes through one task: use it only for summaries
     whose size does not follow the data, such as one row per year. Otherwise the
     part files are sorted by name. ``mode="errorifexists"`` refuses an existing path.
     """
-    ordered = table.orderBy(*order_by)
+    ordered = table.orderBy(*order_by) if order_by else table
     if one_file:
         ordered = ordered.coalesce(1)
     ordered.write.mode(mode).option("header", True).csv(path)

@@ -63,4 +63,8 @@ def test_matches_sql(spark, duck, folder, name):
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 353
+    connection = duckdb.connect()
+    for name in ("lineitem", "orders", "part"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{contract.SMALL_TABLES}/{name}.parquet'")
+    expected = connection.execute(contract.oracle_sql()["product_delta"]).fetchall()
+    assert contract.entry(spark).count() == len(expected) > 0

@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -14,6 +15,7 @@ from revlens.plans.line_samples import save_random_lines
 from revlens.plans.sample_statistics import describe_sample, sampled_records
 from revlens.plans.star_texts import describe_texts
 from revlens.plans.trends import describe_trend, save_yearly
+from revlens.session import shared_folder
 from revlens.sources.csv import read_csv
 from revlens.sources.jsonl import read_lenient, read_strict
 
@@ -149,12 +151,29 @@ def test_calibration_reports(spark, files):
     assert reports["top_delta"].count() == min(30, reports["product_delta"].count())
 
 
+def test_calibration_of_two_labelled_files(spark, files):
+    named = [f"{name}={path}" for name, path in files.items()]
+    reviews = run.calibration_input(spark, named)
+    assert set(reviews.columns) == {"user_id", "asin", "rating", "helpful_vote", "category"}
+    counts = {r.category: r["count"] for r in reviews.groupBy("category").count().collect()}
+    assert counts == {"book": 400, "video_game": 437}
+    assert "category" not in run.calibration_input(spark, [files["book"]]).columns
+    strict = describe_calibration(reviews, min_reviews=25, more_than=30, k=5)
+    assert strict["product_delta"].filter("count <= 30").isEmpty()
+    kept = strict["calibrated_reviews"].groupBy("user_id").count()
+    assert kept.count() > 0 and kept.filter("count < 25").isEmpty()
+
+
 def test_command_line(spark, files, tmp_path):
     out = tmp_path / "out"
+    stop_words = tmp_path / "words.txt"
+    stop_words.write_text("great\n\n The\n")
     run.main(
         ["--out", str(out), "--compare", f"book={files['book']}", "--compare",
          f"video_game={files['video_game']}", "--sample", files["book"], "--sample-size", "50",
-         "--texts", files["book"], "--trend", files["book"], "--calibrate", files["video_game"],
+         "--texts", files["book"], "--stop-words", str(stop_words), "--trend", files["book"],
+         "--calibrate", f"video_game={files['video_game']}", "--calibrate", f"book={files['book']}",
+         "--min-reviews", "2", "--more-than", "3", "--top-delta", "4",
          "--first-lines", "7", files["book"], "--random-lines", "9", files["book"]]
     )
     folders = {p.name.rsplit("_", 2)[0]: p for p in out.iterdir()}
@@ -164,6 +183,12 @@ def test_command_line(spark, files, tmp_path):
     assert [r.value for r in spark.read.text(str(folders["first_lines"])).collect()] == source[:7]
     assert spark.read.text(str(folders["random_lines"])).count() == 9
     assert (folders["calibrate"] / "calibrated_reviews" / "_SUCCESS").exists()
+    assert spark.read.option("header", True).csv(str(folders["calibrate"] / "top_delta")).count() == 4
+    top = spark.read.option("header", True).csv(str(folders["texts"] / "top_words")).collect()
+    assert {r.word for r in top} == {"bad", "fine", "wellmade"}
+    bands = spark.read.option("header", True).csv(str(folders["texts"] / "length_by_vote_band"))
+    assert bands.count() == 5
+    assert not list(Path(shared_folder(spark)).glob("revlens-*"))
     yearly = read_csv(spark, str(folders["trend"] / "yearly"))
     assert sum(r.num_ratings for r in yearly.collect()) == 400
     stats = spark.read.option("header", True).csv(str(folders["sample"] / "bad_of_all"))

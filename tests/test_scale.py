@@ -1,12 +1,14 @@
 """What must hold on skewed and large inputs: hot keys, plans, stored tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from revlens.operators import calibrate, distribution, skew, words
 from revlens.queries import QUERIES
-from revlens.session import materialise, shared_folder
+from revlens.session import materialise, remove_stored, shared_folder
 from revlens.sources.views import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -75,6 +77,40 @@ def test_hot_user_without_ratings_is_spread_too(spark, hot_reviews, shuffled_joi
     assert joined.filter("user_id = 'hot' AND user_reviews = 0 AND user_avg IS NULL").count() == 20_000
 
 
+def test_hot_user_at_production_settings(spark, shuffled_joins):
+    """One user has more rows than the floor of 100,000 and far more than 1/10,000 of all."""
+    ids = spark.range(0, 400_000, 1, 12)
+    user = F.when(F.col("id") % 8 < 3, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 9000).cast("string")))
+    reviews = ids.select(
+        user.alias("user_id"), (F.col("id") % 31).cast("string").alias("asin"), (1 + F.col("id") % 5).cast("double").alias("rating")
+    )
+    totals = materialise(calibrate.user_averages(reviews))
+    joined = calibrate.with_user_averages(reviews, totals)
+    columns = ["user_id", "asin", "rating", "user_avg", "user_reviews"]
+    got = joined.groupBy(*columns).count()
+    expected = reviews.join(totals, "user_id", "left").groupBy(*columns).count()
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert joined.filter("user_id = 'hot' AND user_reviews = 150000").count() == 150_000
+    assert largest_share(joined) < 0.25
+
+
+def test_products_are_calibrated_from_one_read(spark, hot_reviews, tmp_path):
+    """What is left to do after the reviews were read once starts from stored tables only."""
+    hot_reviews.write.parquet(str(tmp_path / "reviews"))
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    deltas = calibrate.product_delta(reviews)
+    assert deltas.inputFiles()
+    assert all("/revlens-" in name for name in deltas.inputFiles())
+    assert deltas.count() == 97
+
+
+def test_stored_tables_are_removed(spark):
+    folders = [materialise(spark.range(n)).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:") for n in (3, 4)]
+    assert all(os.path.isdir(folder) for folder in folders)
+    remove_stored()
+    assert not any(os.path.isdir(folder) for folder in folders)
+
+
 def test_at_most_max_hot_keys_are_broadcast(spark, hot_reviews):
     totals = calibrate.user_averages(hot_reviews).filter("user_id IS NOT NULL")
     n = totals.agg(F.sum("user_rows")).first()[0]
