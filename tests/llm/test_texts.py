@@ -110,6 +110,34 @@ def test_benchmark_passages_are_found(spark, docs_of):
     assert decontaminate.matches(docs_of([]), bench).count() == 0 == decontaminate.matches(docs_of(rows), bench.limit(0)).count()
 
 
+def best_windows(rows, items):
+    expected = {}
+    for doc, text in rows:
+        w = WORD.findall((text or "").lower())
+        for item, passage in items:
+            p = WORD.findall((passage or "").lower())
+            for at in range(max(1, len(w) - len(p) + 1)) if p and w else ():
+                mine, theirs = grams(w[at : at + len(p)]), grams(p)
+                score = sum((mine & theirs).values()) / sum((mine | theirs).values())
+                if score >= 0.8 and score > expected.get((doc, item), (0, 0))[0]:
+                    expected[doc, item] = score, at
+    return expected
+
+
+def test_moved_parts_and_short_items_are_found(spark, docs_of):
+    item = [f"p{i}" for i in range(100)]
+    around = [f"q{i}" for i in range(60)]
+    items = [(1, " ".join(item)), (2, "Two words"), (3, "one"), (4, "w1 w2 w3 w4"), (5, "a b c d e"), (6, " ".join(item)), (7, "a " * 40)]
+    rows = [(1, " ".join(around + item[20:] + item[:20] + around)), (2, " ".join(item[50:] + item[:50])), (3, " ".join(item[:90] + ["x"] * 40))]
+    rows += [(4, "so two WORDS and one and two words"), (5, "w1 w2 w3"), (6, "w0 w1 w2 w3 w4 a b c d e"), (7, " ".join(item[3:95])), (8, "a " * 90)]
+    rows += [(9, " ".join(item[:45] + ["y"] + item[45:] + around)), (9, "One"), (None, "one")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.matches(docs_of(rows), bench).collect()
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found}
+    assert len(found) == len(got) and got == {k: (pytest.approx(s), at) for k, (s, at) in best_windows(rows, items).items()}
+    assert (1, 1) in got and (4, 2) in got and (None, 3) in got
+
+
 PAGE = """<html><body class="x"><header><div>Site</div><ul class="menu"><li>A<li>B</ul></header><div id="cookie-notice">Cookies</div>
 <div class="wrap"><div class="sidebar">links</div><div><h2>Head</h2><p>One &amp; two<br>three <b>x</b>y<p>Four
  five<ul><li>i1<li>i2</ul><form><input>Go</form><div class="comments"><p>nice</p></div></div></div><footer>f</footer><script>if(a<b){}</script>"""
