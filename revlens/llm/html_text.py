@@ -4,6 +4,7 @@ The pages of a host are merged into one tree of styles: an element's style is th
 class names and ids above it (digits in names count alike). For every style node the table of
 ``site_styles`` holds how many pages have it, the entropy of its contents and of its layouts
 over those pages (0 if all are equal, 1 if all differ), and how much of its text is in links.
+Pages of a host that show the same texts in the same styles are counted once in all of this.
 A node's importance is its weighted entropy, less for links. In each page the branches that are
 chrome by their tag or name, and those of low importance on a host with enough pages, are
 removed. What is inside of an ``article`` or ``main`` element is the main text, if a page has one,
@@ -13,7 +14,7 @@ Blocks are the texts between block-level tags and line breaks; white space insid
 empty blocks are left out, and blocks are joined by a line feed in page order.
 
 NULL or empty html, and html without text, give an empty text. A NULL url is a host of its own.
-Rows that repeat count as pages of their own. Broken markup is read as far as it goes: elements
+Rows that repeat are kept, but count as one page of their host. Broken markup is read as far as it goes: elements
 that are never closed end with the element around them. Only the id, url and html columns are
 read, and all rows are kept. Style rows of hosts are joined by host and a salt, so that a host
 with very many pages is spread.
@@ -142,9 +143,12 @@ class Page(HTMLParser):
             if tag in scopes:
                 return
 
-    def styles(self) -> Iterator[tuple[int, int, int, int, int]]:
-        """(style, content, layout, characters, characters in links) of each style with text."""
-        n = len(self.tag)
+    def styles(self) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(style, content, layout, characters, characters in links, page) of each style with text.
+
+        ``page`` is a digest of all texts and their styles.
+        """
+        n, page = len(self.tag), 0
         content, layout, chars, linked = [0] * n, [0] * n, [0] * n, [0] * n
         in_link, hidden = [False] * n, [False] * n
         for i in range(1, n):
@@ -158,6 +162,7 @@ class Page(HTMLParser):
             text = text.strip()
             if text:
                 code = xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
+                page = (page * 0x100000001B3 + (code ^ self.style[i])) & 0xFFFFFFFFFFFFFFFF
                 size, link, at = len(text), in_link[i], i
                 while at >= 0:
                     content[at] = (content[at] * 0x100000001B3 + code) & 0xFFFFFFFFFFFFFFFF
@@ -173,7 +178,7 @@ class Page(HTMLParser):
                 held[2] += chars[i]
                 held[3] += linked[i]
         for style, (a, b, c, d) in merged.items():
-            yield signed(style), signed(a), signed(b), c, d
+            yield signed(style), signed(a), signed(b), c, d, signed(page)
 
     def _regions(self) -> tuple[list[bool], bool]:
         """(elements inside of an article or main element that isn't a comment, whether any has text)"""
@@ -224,24 +229,24 @@ def site_styles(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
-            out = [[], [], [], [], [], []]
+            out = [[], [], [], [], [], [], []]
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for row in Page(html).styles() if html else ():
                     for column, value in zip(out, (host, *row)):
                         column.append(value)
-            yield batch_of(["host", "style", "content", "layout", "chars", "linked"], out, [pa.string()] + [pa.int64()] * 5)
+            yield batch_of(["host", "style", "content", "layout", "chars", "linked", "page"], out, [pa.string()] + [pa.int64()] * 6)
 
-    schema = "host string, style bigint, content bigint, layout bigint, chars bigint, linked bigint"
+    schema = "host string, style bigint, content bigint, layout bigint, chars bigint, linked bigint, page bigint"
     rows = pages.select("host", "html").mapInArrow(run, schema)
-    both = rows.groupBy("host", "style", "content", "layout").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    own = rows.groupBy("host", "style", "content", "layout", "page").agg(F.max("chars").alias("chars"), F.max("linked").alias("linked"))
     # Of a node's (content, layout) counts, first by content, then over all contents.
     by_layout = F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("layouts")
     by_content = F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("contents")
     kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("content").alias("code")), F.struct(F.lit(1).alias("kind"), F.col("layout").alias("code"))))
     counted = (
-        both.select("host", "style", "n", "chars", "linked", kinds.alias("k"))
+        own.select("host", "style", "chars", "linked", kinds.alias("k"))
         .groupBy("host", "style", "k.kind", "k.code")
-        .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
     )
     nodes = counted.groupBy("host", "style").agg(
         (F.sum("n") / 2).cast("bigint").alias("pages"), by_content, by_layout, (F.sum("linked") / F.sum("chars")).alias("link_share")
