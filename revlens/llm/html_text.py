@@ -5,9 +5,10 @@ class names and ids above it (digits in names count alike). For every style node
 ``site_styles`` holds how many pages have it, the entropy of its contents and of its layouts
 over those pages (0 if all are equal, 1 if all differ), and how much of its text is in links.
 Pages of a host that show the same texts in the same styles are counted once in all of this.
-A node's importance is its weighted entropy, less for links. In each page the branches that are
-chrome by their tag or name, and those of low importance on a host with enough pages, are
-removed. What is inside of an ``article`` or ``main`` element is the main text, if a page has one,
+A node's importance is its weighted entropy, less for links. In each page the branches of low
+importance on a host with enough pages are removed. A tag, role or name of chrome lowers a branch's
+importance: one that is low by this alone, or not known of the host, goes unless it holds most of
+the unlinked text. What is inside of an ``article`` or ``main`` element is the main text, if a page has one,
 and a branch within it goes by importance only if it has a name of its own.
 
 Blocks are the texts between block-level tags and line breaks; white space inside is one space,
@@ -37,6 +38,7 @@ from revlens.llm.store import Workspace
 LEAST_IMPORTANCE = 0.25
 LEAST_PAGES = 8
 LAYOUT_WEIGHT = 0.2
+CHROME_WEIGHT = 0.5
 SALTS = 32
 BROADCAST_STYLES = 300_000  # of at most 60 bytes each
 
@@ -48,7 +50,8 @@ BLOCK = frozenset(
     "tbody td tfoot th thead title tr ul".split()
 )
 HIDDEN = frozenset("script style noscript template iframe object embed svg canvas audio video map title head".split())
-CHROME = frozenset("nav aside footer form menu button select textarea input label fieldset dialog search datalist".split())
+CONTROLS = frozenset("button select textarea input label datalist".split())
+CHROME = frozenset("nav aside footer form menu fieldset dialog search".split())
 CLOSES_P = BLOCK - frozenset("br body html head option optgroup td th tr tbody thead tfoot caption title legend summary".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body html div section article main aside nav td th select".split())
@@ -143,8 +146,14 @@ class Page(HTMLParser):
             if tag in scopes:
                 return
 
-    def styles(self) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(style, content, layout, characters, characters in links, page) of each style with text.
+    def _chrome(self, i: int) -> bool:
+        """Whether an element's tag, role or name is one of chrome."""
+        tag, words = self.tag[i], self.words[i]
+        named = tag in CHROME or self.role[i] in ROLES or words & CHROME_WORDS or tag == "header" or words & HEADER_WORDS
+        return bool(named) and tag not in ("html", "body")
+
+    def styles(self) -> Iterator[tuple[int, int, int, int, int, int, bool]]:
+        """(style, content, layout, characters, characters in links, page, chrome) of each style with text.
 
         ``page`` is a digest of all texts and their styles.
         """
@@ -171,43 +180,59 @@ class Page(HTMLParser):
                     at = self.parent[at]
         merged: dict[int, list[int]] = {}
         for i in range(1, n):
-            if chars[i] and self.tag[i] in BLOCK:
-                held = merged.setdefault(self.style[i], [0, 0, 0, 0])
+            if chars[i] and (self.tag[i] in BLOCK or self._chrome(i)):
+                held = merged.setdefault(self.style[i], [0, 0, 0, 0, False])
                 held[0] = (held[0] * 31 + content[i]) & 0xFFFFFFFFFFFFFFFF
                 held[1] = (held[1] * 31 + layout[i] + 1) & 0xFFFFFFFFFFFFFFFF
                 held[2] += chars[i]
                 held[3] += linked[i]
-        for style, (a, b, c, d) in merged.items():
-            yield signed(style), signed(a), signed(b), c, d, signed(page)
+                held[4] = held[4] or self._chrome(i)
+        for style, (a, b, c, d, chrome) in merged.items():
+            yield signed(style), signed(a), signed(b), c, d, signed(page), chrome
 
     def _regions(self) -> tuple[list[bool], bool]:
-        """(elements inside of an article or main element that isn't a comment, whether any has text)"""
-        n = len(self.tag)
+        """(elements inside of an article or main element that isn't in a comment, whether any has text)"""
+        n, most = len(self.tag), self._most([True] * len(self.tag))
         inside, comment = [False] * n, [False] * n
         for i in range(1, n):
             at = self.parent[i]
-            comment[i] = comment[at] or (self.tag[i] not in ("html", "body") and bool(self.words[i] & COMMENT_WORDS))
+            comment[i] = comment[at] or (self.tag[i] not in ("html", "body") and bool(self.words[i] & COMMENT_WORDS) and not most[i])
             top = self.tag[i] in ("article", "main") or self.role[i] == "main"
-            inside[i] = not comment[i] and (inside[at] or top)
+            inside[i] = inside[at] or (top and not comment[i])
         return inside, any(text and inside[i] and not text.isspace() for i, text in self.pieces if text)
 
-    def text(self, unimportant: frozenset[int]) -> str:
+    def _most(self, chosen: list[bool]) -> list[bool]:
+        """Whether an element holds most of the unlinked text of the chosen elements."""
+        n = len(self.tag)
+        out, chars = [False] * n, [0] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or self.tag[i] == "a" or self.tag[i] in HIDDEN or self.tag[i] in CONTROLS
+        for i, text in self.pieces:
+            if text and chosen[i] and not out[i]:
+                chars[i] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        return [2 * c > chars[0] for c in chars]
+
+    def text(self, unimportant: frozenset[int], important: frozenset[int] = frozenset()) -> str:
+        """The main text. ``important`` are the styles of chrome that are kept all the same."""
         inside, has_main = self._regions()
         n = len(self.tag)
+        most = self._most(inside if has_main else [True] * n)
         holds = [False] * n  # elements around the main text are never chrome
         for i in range(n - 1, 0, -1):
             holds[self.parent[i]] = holds[self.parent[i]] or inside[i] or holds[i]
         gone = [False] * n
         for i in range(1, n):
-            at, tag, words = self.parent[i], self.tag[i], self.words[i]
-            if gone[at] or tag in HIDDEN:
+            at, tag, style = self.parent[i], self.tag[i], signed(self.style[i])
+            if gone[at] or tag in HIDDEN or tag in CONTROLS:
                 gone[i] = True
             elif tag in ("html", "body") or (holds[i] and not inside[i]) or (inside[i] and not inside[at]):
                 continue
-            elif tag in CHROME or self.role[i] in ROLES or words & CHROME_WORDS or (tag == "header" or words & HEADER_WORDS) and not inside[i]:
-                gone[i] = True
-            elif signed(self.style[i]) in unimportant and (self.named[i] or not inside[i]):
+            elif style in unimportant and (self.named[i] or not inside[i]):
                 gone[i] = True
+            elif self._chrome(i) and style not in important and not most[i]:
+                gone[i] = not inside[i] or tag in CHROME or self.role[i] in ROLES or bool(self.words[i] & CHROME_WORDS)
         blocks, now = [], []
         for i, text in self.pieces:
             if text is not None and not gone[i] and (inside[i] or not has_main):
@@ -225,35 +250,35 @@ def _host() -> F.Column:
 
 
 def site_styles(pages: DataFrame) -> DataFrame:
-    """(host, style, pages, importance) from columns host, html; counted before the shuffle."""
+    """(host, style, pages, importance, chrome) from columns host, html; counted before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 1):
-            out = [[], [], [], [], [], [], []]
+            out = [[], [], [], [], [], [], [], []]
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for row in Page(html).styles() if html else ():
                     for column, value in zip(out, (host, *row)):
                         column.append(value)
-            yield batch_of(["host", "style", "content", "layout", "chars", "linked", "page"], out, [pa.string()] + [pa.int64()] * 6)
+            yield batch_of(["host", "style", "content", "layout", "chars", "linked", "page", "chrome"], out, [pa.string()] + [pa.int64()] * 6 + [pa.bool_()])
 
-    schema = "host string, style bigint, content bigint, layout bigint, chars bigint, linked bigint, page bigint"
+    schema = "host string, style bigint, content bigint, layout bigint, chars bigint, linked bigint, page bigint, chrome boolean"
     rows = pages.select("host", "html").mapInArrow(run, schema)
-    own = rows.groupBy("host", "style", "content", "layout", "page").agg(F.max("chars").alias("chars"), F.max("linked").alias("linked"))
+    own = rows.groupBy("host", "style", "content", "layout", "page").agg(F.max("chars").alias("chars"), F.max("linked").alias("linked"), F.max("chrome").alias("chrome"))
     # Of a node's (content, layout) counts, first by content, then over all contents.
     by_layout = F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("layouts")
     by_content = F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("contents")
     kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("content").alias("code")), F.struct(F.lit(1).alias("kind"), F.col("layout").alias("code"))))
     counted = (
-        own.select("host", "style", "chars", "linked", kinds.alias("k"))
+        own.select("host", "style", "chars", "linked", "chrome", kinds.alias("k"))
         .groupBy("host", "style", "k.kind", "k.code")
-        .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.max("chrome").alias("chrome"))
     )
     nodes = counted.groupBy("host", "style").agg(
-        (F.sum("n") / 2).cast("bigint").alias("pages"), by_content, by_layout, (F.sum("linked") / F.sum("chars")).alias("link_share")
+        (F.sum("n") / 2).cast("bigint").alias("pages"), by_content, by_layout, (F.sum("linked") / F.sum("chars")).alias("link_share"), F.max("chrome").alias("chrome")
     )
     entropy = lambda sums: F.when(F.col("pages") > 1, 1 - F.col(sums) / (F.col("pages") * F.log("pages"))).otherwise(1.0)
     importance = ((1 - LAYOUT_WEIGHT) * entropy("contents") + LAYOUT_WEIGHT * entropy("layouts")) * (1 - F.col("link_share"))
-    return nodes.select("host", "style", "pages", importance.alias("importance"))
+    return nodes.select("host", "style", "pages", importance.alias("importance"), "chrome")
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
@@ -261,10 +286,13 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     space = Workspace(pages.sparkSession)
     rows = pages.select(F.col(id_column).cast("bigint").alias("page_id"), F.col(url_column).cast("string").alias("url"), F.col(html_column).cast("string").alias("html"))
     rows = rows.withColumn("host", _host())
-    low = site_styles(rows).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "style")
-    low = space.put(low)
-    by_host = low.groupBy("host").agg(F.collect_list("style").alias("styles"))
-    if low.count() <= BROADCAST_STYLES:
+    low = (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)
+    high = F.col("chrome") & (F.col("pages") > 1) & (F.col("importance") * CHROME_WEIGHT >= LEAST_IMPORTANCE)
+    known = site_styles(rows).where(low | high).withColumn("kept", high)
+    known = space.put(known.select("host", "style", "kept"))
+    of = lambda kept: F.collect_list(F.when(F.col("kept") == kept, F.col("style")))
+    by_host = known.groupBy("host").agg(of(False).alias("styles"), of(True).alias("important"))
+    if known.count() <= BROADCAST_STYLES:
         met = rows.join(F.broadcast(by_host), "host", "left")
     else:
         salted = by_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -272,8 +300,9 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 2):
-            texts = [Page(html).text(frozenset(styles or ())) if html else "" for html, styles in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            given = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
+            texts = [Page(html).text(frozenset(low or ()), frozenset(high or ())) if html else "" for html, low, high in given]
             yield batch_of(["page_id", "url", "text"], [batch.column(0), batch.column(1), texts], [pa.int64(), pa.string(), pa.string()])
 
-    return met.select("page_id", "url", "html", "styles").mapInArrow(run, "page_id bigint, url string, text string")
+    return met.select("page_id", "url", "html", "styles", "important").mapInArrow(run, "page_id bigint, url string, text string")
 
