@@ -3,7 +3,9 @@
 The lexer reads source and configuration syntax (``name = "x"``, ``name: x``, ``"name": "x"``,
 ``NAME=x``, ``f(name="x")``, ``name => 'x'``, ``<name>x</name>``) into pairs of a target name and
 literals. Names that hold a literal are constants, and a target that is given a constant, or a
-sum of them, gets the constants' literals. Each literal is scored by how sensitive its target's
+sum of them, gets the constants' literals. A literal may stand on the line after its separator, and
+keys that are wrapped over lines count as one: in quotes, triple quotes, blocks of YAML, and private
+keys in PEM armor, whose label is their name. Behind a scheme (``Bearer x``) only the token counts. Each literal is scored by how sensitive its target's
 name is and by how much it looks like a key rather than a placeholder or prose. Literals that
 reach ``LEAST_SCORE`` are spans of the kind ``named``; the fixed kinds are always kept.
 
@@ -44,7 +46,10 @@ WEIGHTS = {
 }
 SENSITIVE = re.compile("|".join(sorted(WEIGHTS, key=len, reverse=True)))
 LEAST_SCORE = 0.5
-PLACEHOLDER = re.compile(r"^(?:x+|\*+|\.+|-+|your.*|my.*|change.?me.*|example.*|sample.*|test|none|null|nil|true|false|todo|<.*>|\$\{.*\}|\$\(.*\)|%\(.*\)s|\{\{.*\}\})$", re.I)
+PLACEHOLDER = re.compile(
+    r"^(?:x+|\*+|\.+|-+|(?:your|my|change[_-]?me|example|sample)(?:[^A-Za-z0-9]+[A-Za-z]*)*|test|none|null|nil|true|false|todo"
+    r"|<.*>|\$\{.*\}|\$\(.*\)|%\(.*\)s|\{\{.*\}\})$", re.I
+)
 
 TOKEN = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
@@ -53,7 +58,16 @@ TOKEN = re.compile(
     r"""|(?P<set>:=|=>|==|!=|<=|>=|=|:)"""
     r"""|(?P<plus>\+)|(?P<bare>[0-9][^\s,;)}\]"'`]*)|(?P<other>\S)"""
 )
-BARE = re.compile(r"""[=:][ \t]*([^\s"'`,;(){}\[\]<>]+)[ \t]*(?=$|[,;#])""")
+SCHEME = r"(?i:bearer|basic|token|apikey|jwt|negotiate)[ \t]+"
+BARE = re.compile(rf"""[=:][ \t]*(?:{SCHEME})?([^\s"'`,;(){{}}\[\]<>]+)[ \t]*(?=$|[,;#])""")
+SCHEMED = re.compile(rf"[ \t]*{SCHEME}([^\s{{$<%]\S*)[ \t]*$")
+HEADER = re.compile(rf"[ \t]*([A-Za-z][\w-]*):[ \t]*(?:{SCHEME})?([^\s{{$<%]\S*)[ \t]*$")
+# Quoted keys without blanks but line ends, possibly in triple quotes; the next line's only word; a block of YAML.
+WRAPPED = re.compile(r"""(?P<q>\"{3}|'{3}|["'`])\s*(?P<key>[^\s"'`]+(?:[ \t]*\r?\n[ \t]*[^\s"'`]+)*)\s*(?P=q)""")
+ALONE = re.compile(r"""[ \t]*([^\s"'`,;(){}\[\]<>=:#-][^\s"'`,;(){}\[\]<>=:]*=*)[ \t]*$""")
+BLOCK_MARK = re.compile(r"[ \t]*[|>][-+0-9]*[ \t]*(?:#.*)?$")
+PEM = re.compile(r"-----BEGIN (?P<label>[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----(?:(?!-----)[\s\S])*(?:-----END (?P=label)-----)?")
+ARMOR = re.compile(r"-----(?:BEGIN|END) [A-Z0-9 ]+-----|^[A-Z][\w-]*: .*$", re.M)
 
 
 def name_score(name: str) -> float:
@@ -65,6 +79,8 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """0 for short, prose-like or placeholder values, up to 1 for long random ones."""
+    value = ARMOR.sub("", value) if "-----BEGIN" in value else value
+    value = "".join(part.strip() for part in value.split("\n"))
     if len(value) < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
         return 0.0
     counts = Counter(value)
@@ -76,45 +92,115 @@ def literal_score(value: str) -> float:
 def pairs(text: str, first: int = 0) -> Iterator[tuple[str, str, int, int]]:
     """(target name, literal, begin, end) of every literal that a name is given, constants included."""
     constants: dict[str, list[tuple[str, int, int]]] = {}
-    offset = first
-    for line in text.split("\n"):
-        if "=" in line or ":" in line or "</" in line:
-            yield from _line_pairs(line, offset, constants)
-        offset += len(line) + 1
-
-
-def _line_pairs(line: str, offset: int, constants: dict[str, list[tuple[str, int, int]]]) -> Iterator[tuple[str, str, int, int]]:
-    target, adding, state = "", False, "name"
-    for token in TOKEN.finditer(line):
+    begin, state = 0, _State()
+    for raw in text.split("\n"):
+        line = raw.rstrip("\r")
+        if state.stage != "name" or "=" in line or ":" in line or "</" in line:
+            for name, literal, a, b in _line_pairs(text, line, begin, constants, state):
+                yield name, literal, first + a, first + b
+        begin += len(raw) + 1
+
+
+class _State:
+    """What the lexer carries over a line end: a target that waits for its literal or for more of it."""
+
+    def __init__(self) -> None:
+        self.target, self.adding, self.stage, self.set, self.indent = "", False, "name", "", 0
+
+
+def _indent(line: str) -> int:
+    return len(line) - len(line.lstrip(" \t"))
+
+
+def _literal(value: str, begin: int) -> tuple[str, int, int]:
+    """A literal and its place, without a scheme in front."""
+    schemed = SCHEMED.match(value)
+    return (schemed[1], begin + schemed.start(1), begin + schemed.end(1)) if schemed else (value, begin, begin + len(value))
+
+
+def _block(text: str, at: int, indent: int) -> tuple[str, int, int] | None:
+    """The lines from ``at`` that are indented by more than ``indent``, if each is one word."""
+    first, end = -1, -1
+    while at < len(text):
+        stop = text.find("\n", at)
+        stop = stop if stop >= 0 else len(text)
+        line = text[at:stop].rstrip()
+        if line:
+            if _indent(line) <= indent:
+                break
+            if len(line.split()) > 1:
+                return None
+            first, end = at + _indent(line) if first < 0 else first, at + len(line)
+        at = stop + 1
+    return (text[first:end], first, end) if first >= 0 else None
+
+
+def _line_pairs(text: str, line: str, offset: int, constants: dict[str, list[tuple[str, int, int]]], state: _State) -> Iterator[tuple[str, str, int, int]]:
+    """The pairs of one line of ``text``, which begins at ``offset``."""
+    carried = state.stage == "value"  # nothing but blanks so far on the line after a separator
+    target, adding, stage = state.target, state.adding, state.stage
+    if not line.strip():
+        return
+    alone = ALONE.match(line) if carried and state.set == ":" and _indent(line) > state.indent else None
+    if alone:
+        literal = (alone[1], offset + alone.start(1), offset + alone.end(1))
+        constants.setdefault(target, []).append(literal)
+        yield target, *literal
+        target, stage, carried = "", "name", False
+    at = 0
+    while token := TOKEN.search(line, at):
+        at = token.end()
         kind = token.lastgroup if token.lastgroup not in ("tagname", "tagtext") else "tag"
+        header = HEADER.match(token[0][1:-1]) if kind == "string" and ":" in token[0] else None
+        if header:
+            inside = offset + token.start() + 1
+            yield header[1], header[2], inside + header.start(2), inside + header.end(2)
+        wrapped = WRAPPED.match(text, offset + token.start()) if stage == "value" and token[0][0] in "\"'`" else None
+        if wrapped and kind == "string" and len(wrapped["q"]) == 1:
+            wrapped = None  # a string that ends on its line
         if token["tag"]:
             yield token["tagname"], token["tagtext"], offset + token.start("tagtext"), offset + token.end("tagtext")
-            target, state = "", "name"
-        elif kind == "set" and target and token[0] in ("=", ":", ":=", "=>"):
-            state, adding = "value", False
+            target, stage = "", "name"
+        elif kind == "set" and target and not carried and token[0] in ("=", ":", ":=", "=>"):
+            stage, adding, state.set, state.indent = "value", False, token[0], _indent(line)
             bare = BARE.match(line, token.end() - 1)
-            if bare and bare[1] not in constants:
-                constants.setdefault(target, []).append((bare[1], offset + bare.start(1), offset + bare.end(1)))
-                yield target, bare[1], offset + bare.start(1), offset + bare.end(1)
-        elif state == "value" and kind == "string":
-            literal = (token[0][1:-1], offset + token.start() + 1, offset + token.end() - 1)
+            literal = (bare[1], offset + bare.start(1), offset + bare.end(1)) if bare and bare[1] not in constants else None
+            if token[0] == ":" and BLOCK_MARK.match(line, at):
+                literal = _block(text, offset + len(line) + 1 + text.startswith("\r", offset + len(line)), state.indent)
+            if literal:
+                constants.setdefault(target, []).append(literal)
+                yield target, *literal
+        elif wrapped:
+            literal = (wrapped["key"], wrapped.start("key"), wrapped.end("key"))
+            constants[target] = (constants.get(target, []) if adding else []) + [literal]
+            yield target, *literal
+            stage, at = "more", wrapped.end() - offset
+            if at > len(line):
+                target, stage = "", "name"
+                break
+        elif stage == "value" and kind == "string" and not (carried and re.match(r"[ \t]*[:=]", line[at:])):
+            literal = _literal(token[0][1:-1], offset + token.start() + 1)
             constants[target] = (constants.get(target, []) if adding else []) + [literal]
             yield target, *literal
-            state = "more"
-        elif state == "value" and kind == "name" and token[0] in constants:
+            stage = "more"
+        elif stage == "value" and kind == "name" and token[0] in constants and not carried:
             taken = list(constants[token[0]])
             constants[target] = (constants.get(target, []) if adding else []) + taken
             for literal in taken:
                 yield target, *literal
-            state = "more"
-        elif state == "more" and kind == "plus":
-            state, adding = "value", True
+            stage = "more"
+        elif stage == "value" and (token[0] == "(" or token[0] == "\\" and not line[at:].strip()):
+            continue
+        elif stage == "more" and kind == "plus":
+            stage, adding = "value", True
         elif kind == "name":
-            target, state = token[0], "name"
+            target, stage = token[0], "name"
         elif kind == "string":
-            target, state = token[0][1:-1], "name"
-        elif kind != "set" or state != "name":
-            target, state = "", "name"
+            target, stage = token[0][1:-1], "name"
+        elif kind != "set" or stage != "name":
+            target, stage = "", "name"
+        carried = False
+    state.target, state.adding, state.stage = target if stage != "name" else "", adding, stage
 
 
 def spans(text: str) -> list[tuple[int, int, int, str, float]]:
@@ -126,6 +212,11 @@ def spans(text: str) -> list[tuple[int, int, int, str, float]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), "", 1.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), 2, m.end(), "", 1.0) for m in HEX.finditer(text)]
+    if "-----BEGIN" in text:
+        for m in PEM.finditer(text):
+            score = name_score(m["label"]) * literal_score(m[0])
+            if score >= LEAST_SCORE:
+                found.append((m.start(), 3, m.end(), m["label"], score))
     if ("=" in text or ":" in text or "</" in text) and SENSITIVE.search(low):
         named: dict[tuple[int, int], tuple[str, float]] = {}
         for name, literal, begin, end in pairs(text):
