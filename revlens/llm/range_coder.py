@@ -1,10 +1,10 @@
-"""An adaptive context-mixing range coder for blocks of token ids.
+"""An adaptive range coder with an escape symbol for blocks of token ids; nothing is mixed.
 
 Every block starts from the same empty model. For each id the model holds three predictions:
 the id that last followed the previous two ids (order 2), the id that last followed the previous
-one (order 1), and adaptive frequencies of ids (order 0). Their mixture is learned per block:
-one symbol says which prediction holds, with frequencies kept for each state of the two
-contexts; an id that neither predicts is written as four hexadecimal digits by order-0
+one (order 1), each in ``SLOTS`` hashed slots that aren't checked, and adaptive frequencies of
+ids (order 0). One symbol says which prediction holds, with frequencies kept for each state of
+the two contexts; probabilities of the orders are not combined, and an id that neither predicts is written as four hexadecimal digits by order-0
 frequencies, each digit in the context of those before it. A 48-bit carry-less range coder turns
 symbols into 16-bit words. Many blocks are coded in step, one numpy lane each; a block's bytes
 do not depend on the others.
