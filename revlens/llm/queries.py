@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, chat, decontaminate, html_text, ngram_join, quality, secret_scan, suffix_dedup, token_counts, token_files
+from revlens.llm import bpe, chat, conversation_repair, decontaminate, html_text, ngram_join, quality, secret_scan, suffix_dedup, token_counts, token_files
 from revlens.llm.frames import table
 from revlens.llm.ship import ship
 from revlens.llm.store import Workspace
@@ -70,11 +70,15 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(ship(spark), folder, "documents"), path), path))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(ship(spark), folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_ngram_join, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontaminate,
-        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe,
+        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe, op11_conversation_repair,
     )
 }
 
