@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, chat, conversation_repair, decontaminate, html_text, ngram_join, quality, secret_scan, suffix_dedup, token_counts, token_files
+from revlens.llm import bpe, chat, conversation_repair, decontaminate, html_text, ngram_join, quality, secret_scan, spelling, suffix_dedup, token_counts, token_files
 from revlens.llm.frames import table
 from revlens.llm.ship import ship
 from revlens.llm.store import Workspace
@@ -74,11 +74,15 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(ship(spark), folder, "conversations")))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(ship(spark), folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_ngram_join, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontaminate,
-        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe, op11_conversation_repair,
+        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe, op11_conversation_repair, op13_spelling_variants,
     )
 }
 
@@ -114,4 +118,37 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM r WHERE r.x = d.doc_id) AS component_id
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
     """,
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc AS (
+            SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) FOR i IN range(256)] AS step),
+        runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        seen AS (SELECT id, run, count(*) AS k FROM runs GROUP BY id, run),
+        bytes AS (
+            SELECT run, k, flatten([CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [195, ord(x) - 64] END
+                FOR x IN string_split(id || ':' || run, '')])::BIGINT[] AS b FROM seen),
+        coded AS (
+            SELECT run, k, xor(list_reduce(b, lambda a, x: xor(a >> 8, step[1 + (xor(a, x) & 255)]), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+            FROM bytes, crc),
+        changed AS (
+            SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+                ELSE run END AS word, k FROM coded),
+        w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+        cut AS (
+            SELECT word, n, i, left(word, CAST(i AS INTEGER) - 1) AS a, substr(word, CAST(i AS INTEGER) + 1) AS b
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+        lacking AS (SELECT DISTINCT cut.word AS x, cut.n AS nx, w.word AS y, w.n AS ny FROM cut JOIN w ON a || b = w.word),
+        near AS (
+            SELECT x.word AS x, y.word AS y, y.n AS ny FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+            UNION ALL SELECT x, y, ny FROM lacking UNION ALL SELECT y, x, nx FROM lacking),
+        best AS (SELECT x, count(*) AS n_near, min({'less': -ny, 'y': y}) AS m FROM near GROUP BY x),
+        j AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -m.less >= 10 * n THEN m.y END AS form,
+                CASE WHEN -m.less >= 10 * n THEN -m.less END AS form_n
+            FROM w LEFT JOIN best ON x = word),
+        up AS (SELECT word, word AS root, 0 AS far FROM j UNION ALL SELECT up.word, j.form, far + 1 FROM up JOIN j ON j.word = up.root WHERE j.form IS NOT NULL)
+        SELECT j.word, j.form, r.root, j.n, j.n_near, j.form_n
+        FROM j JOIN (SELECT word, arg_max(root, far) AS root FROM up GROUP BY word) r ON r.word = j.word
+    """,
 }
