@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, chat, conversation_repair, decontaminate, html_text, ngram_join, quality, secret_scan, spelling, suffix_dedup, token_counts, token_files
+from revlens.llm import bpe, chat, conversation_repair, decontaminate, html_text, ngram_join, quality, secret_scan, spelling, suffix_dedup, token_counts, token_files, toxicity
 from revlens.llm.frames import table
 from revlens.llm.ship import ship
 from revlens.llm.store import Workspace
@@ -74,6 +74,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(table(ship(spark), folder, "conversations")))
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(table(ship(spark), folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(ship(spark), folder, "documents"))
 
@@ -82,7 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_ngram_join, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontaminate,
-        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe, op11_conversation_repair, op13_spelling_variants,
+        op6_html_text, op7_token_files, op8_secret_scan, op9_token_counts, op10_bpe, op11_conversation_repair, op12_toxicity, op13_spelling_variants,
     )
 }
 
