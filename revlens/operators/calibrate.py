@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.numbers import clamp, exact_avg, mean, round_half_up, scaled
 from revlens.operators.skew import join_totals
+from revlens.operators.steps import StepCounts
 from revlens.session import materialise
 
 CENTRE = 3.0
@@ -64,28 +65,39 @@ def product_delta(
     min_reviews: int = MIN_REVIEWS_PER_USER,
     more_than: int = MORE_THAN_PER_PRODUCT,
     averages: DataFrame | None = None,
+    steps: StepCounts | None = None,
 ) -> DataFrame:
     """Original and calibrated average per product, and their difference.
 
     Only products with more than ``more_than`` ratings and at least one calibrated
     rating. Both averages come from one pass over the joined rows. Without ``averages``
     the three columns needed are stored first and the averages are computed from them, so
-    that ``reviews`` are read and parsed once (starts two jobs).
+    that ``reviews`` are read and parsed once (starts two jobs). ``steps`` takes the numbers of
+    rows that are joined, with how many of them are rated and of users with enough ratings, of
+    products, and of products that are left.
     """
+
+    def counted(step: str, df: DataFrame, **parts: Column) -> DataFrame:
+        return steps.after(step, df, **parts) if steps else df
+
     needed = reviews.select("user_id", "asin", "rating")
     if averages is None:
         needed = materialise(needed)
-    calibrated = F.when(F.col("user_reviews") >= min_reviews, calibrated_hundredths())
+    enough = F.col("user_reviews") >= min_reviews
+    calibrated = F.when(enough, calibrated_hundredths())
+    joined = with_user_averages(needed, averages)
+    joined = counted("joined", joined, rated=F.col("rating").isNotNull(), of_known_users=F.coalesce(enough, F.lit(False)))
     per_product = (
-        with_user_averages(needed, averages)
-        .groupBy("asin")
+        joined.groupBy("asin")
         .agg(
             exact_avg(F.col("rating")).alias("orig_avg"),
             (mean(F.sum(calibrated), F.count(calibrated)) / 100.0).alias("calib_avg"),
             F.count("rating").alias("count"),
         )
     )
-    return per_product.filter(F.col("calib_avg").isNotNull() & (F.col("count") > more_than)).select(
+    products = counted("products", per_product, calibrated=F.col("calib_avg").isNotNull())
+    chosen = products.filter(F.col("calib_avg").isNotNull() & (F.col("count") > more_than))
+    return counted("chosen", chosen).select(
         "asin",
         "orig_avg",
         "calib_avg",

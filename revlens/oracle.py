@@ -321,6 +321,14 @@ SELECT rating, title, asin, user_id, timestamp, helpful_vote, verified_purchase,
        CAST(cents AS DOUBLE) / 100 AS calibrated_rating
 FROM hundredths""",
     "product_delta": f"WITH {_DELTA} SELECT * FROM delta",
+    "product_delta_steps": f"""
+WITH {_DELTA}
+SELECT 'joined' AS step, count(*) AS n FROM fine
+UNION ALL SELECT 'rated', count(rating) FROM fine
+UNION ALL SELECT 'of_known_users', count(*) FROM hundredths
+UNION ALL SELECT 'products', count(DISTINCT asin) FROM fine
+UNION ALL SELECT 'calibrated', count(calib_avg) FROM after
+UNION ALL SELECT 'chosen', count(*) FROM delta""",
     "top_delta": f"""
 WITH {_DELTA}
 SELECT * FROM (SELECT * FROM delta ORDER BY abs(delta) DESC, asin LIMIT 30) ORDER BY orig_avg, asin""",
@@ -332,6 +340,22 @@ SELECT CASE WHEN event_id % 16 NOT IN (8, 9) THEN CAST(trunc(value) AS BIGINT) E
        CASE event_type WHEN 'purchase' THEN 'true' WHEN 'error' THEN NULL ELSE 'false' END
          AS verified_purchase
 FROM events WHERE event_type <> 'signup' AND event_id % 16 NOT IN (2, 3, 4, 5, 6, 10)""",
+    "ingest_rejects": """
+SELECT event_id, CASE WHEN event_id % 16 = 6 THEN 'blank'
+                      WHEN event_id % 16 = 5 AND event_type <> 'signup' THEN 'not an object' ELSE 'broken' END AS reason
+FROM events WHERE event_type = 'signup' OR event_id % 16 IN (2, 3, 4, 5, 6, 10)""",
+    "ingest_counts": """
+WITH sorted AS (
+  SELECT CASE WHEN event_id % 16 = 6 THEN 'blank' WHEN event_id % 16 = 5 AND event_type <> 'signup' THEN 'not an object'
+              WHEN event_type = 'signup' OR event_id % 16 IN (2, 3, 4, 10) THEN 'broken' ELSE 'records' END AS what,
+         event_id % 16 AS kind
+  FROM events)
+SELECT 'lines' AS what, count(*) AS n FROM sorted
+UNION ALL SELECT w.what, count(sorted.what) FROM (VALUES ('records'), ('blank'), ('broken'), ('not an object')) w(what)
+          LEFT JOIN sorted ON sorted.what = w.what GROUP BY w.what
+UNION ALL SELECT 'failed_rating', count(*) FROM sorted WHERE what = 'records' AND kind IN (8, 9)
+UNION ALL SELECT 'failed_timestamp', count(*) FROM sorted WHERE what = 'records' AND kind = 7
+UNION ALL SELECT 'failed_helpful_vote', 0""",
     "ingest_strict": f"""
 WITH {_DOCUMENT_REVIEWS}
 SELECT doc_id, '' AS asin, '' AS parent_asin, title, text, coalesce(rating, 0) AS rating, CAST(0 AS BIGINT) AS timestamp,

@@ -13,12 +13,15 @@ from revlens.operators import (
     calibrate,
     distribution,
     sampling,
+    steps,
     summary,
     transform,
     trend,
     words,
 )
 from revlens.plans import category_comparison
+from revlens.session import materialise
+from revlens.sources import rejects
 from revlens.sources.jsonl import parse_lenient, parse_strict, typed, with_defaults
 from revlens.sources.views import document_reviews, fine_reviews, order_reviews, reviews_of, table
 
@@ -128,7 +131,7 @@ def _event_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 10, F.concat(line, F.lit("]")))
         .otherwise(line)
     )
-    return events.select(changed.alias("value"))
+    return events.select(changed.alias("value"), "event_id")
 
 
 _INGESTED = {
@@ -148,6 +151,23 @@ def _ingest_lenient(spark: SparkSession, folder: str) -> DataFrame:
     return _as_text(records, "timestamp", "verified_purchase")
 
 
+def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines that ``ingest_lenient`` drops, and why."""
+    return rejects.accounted(_event_lines(spark, folder), _INGESTED).rejects.select("event_id", "reason")
+
+
+def _ingest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines, records, rejected lines by reason, and failed casts by field, of the same pass."""
+    return rejects.counts_table(spark, rejects.accounted(_event_lines(spark, folder), _INGESTED).counts)
+
+
+def _product_delta_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows after each step of ``product_delta``, counted while its result is stored."""
+    counts = steps.StepCounts()
+    materialise(calibrate.product_delta(fine_reviews(spark, folder), steps=counts))
+    return counts.table(spark)
+
+
 def _ingest_strict(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written as JSON and read back whole, with defaults for what is missing.
 
@@ -258,9 +278,12 @@ QUERIES: dict[str, Query] = {
     "product_avg_calibrated": _over(fine_reviews, _calibrated_average),
     "calibrated_reviews": _over(fine_reviews, lambda r: calibrate.calibrate(r.drop("review_ts"))),
     "product_delta": _over(fine_reviews, calibrate.product_delta),
+    "product_delta_steps": _product_delta_steps,
     "top_delta": _over(fine_reviews, lambda r: calibrate.top_delta(calibrate.product_delta(r))),
     # Reading and sampling
     "ingest_lenient": _ingest_lenient,
+    "ingest_rejects": _ingest_rejects,
+    "ingest_counts": _ingest_counts,
     "ingest_strict": _ingest_strict,
     "ingest_defaults": _ingest_defaults,
     "head_n": _head_n,

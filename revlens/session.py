@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +49,11 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Compute ``df`` once and read it back from the shared folder (starts a job).
 
+    With ``partition_by`` rows that differ there are stored apart, and a filter reads its part only.
+
     Used for tables that several later steps read and that are much smaller than the
     reviews. The lineage ends here, so a lost executor costs no recomputation of it.
     The table is there until ``remove_stored`` or the end of Python.
@@ -60,7 +63,7 @@ def materialise(df: DataFrame) -> DataFrame:
     if not _STORED:
         atexit.register(remove_stored)
     _STORED.append((spark, folder))
-    df.write.parquet(folder)
+    df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -13,6 +13,8 @@ from revlens.schema import REVIEW_DEFAULTS, REVIEW_FIELDS, REVIEW_SCHEMA
 
 # Columns that tell the place of a line in the input, see read_lines.
 PLACE = ["block", "row"]
+# Characters of a line that an error shows.
+SHOWN = 200
 
 _CORRUPT = "_corrupt_record"
 
@@ -20,11 +22,18 @@ _CORRUPT = "_corrupt_record"
 def read_strict(
     spark: SparkSession, path: str | list[str], schema: T.StructType = REVIEW_SCHEMA
 ) -> DataFrame:
-    """Typed records; any line that does not begin with a record of ``schema`` fails the job.
+    """Typed records; any line that is not whole a record of ``schema`` fails the job.
 
-    Checked are the columns that are selected, and that the line begins with an object or an
-    array of objects. Text behind it is not looked at; ``parse_strict`` refuses it.
+    Every field is checked whatever is selected afterwards, and the text behind the record. The
+    error names the line's file, block and row.
     """
+    return parse_strict(read_lines(spark, path), schema).select(*schema.names)
+
+
+def read_pruned(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = REVIEW_SCHEMA
+) -> DataFrame:
+    """As ``read_strict``, but only the selected columns are parsed and checked, which is faster."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
@@ -54,17 +63,21 @@ def parse_strict(lines: DataFrame, schema: T.StructType = REVIEW_SCHEMA, column:
     """Typed records of JSON lines held in a column; a line that is no record fails the job.
 
     Blank lines are left out, and an array of objects gives a record for each. The whole line is
-    checked, text behind the record included. Other columns of ``lines`` are kept in front.
+    checked, text behind the record included. Other columns of ``lines`` are kept in front; those
+    of a line's place (``file``, ``block``, ``row``) are named in the error.
     """
     line = F.col(column)
-    wrapped = T.StructType([T.StructField("r", T.ArrayType(schema)), T.StructField("end", T.IntegerType())])
+    wrapped = T.StructType().add("r", T.ArrayType(schema)).add("end", T.IntegerType()).add(_CORRUPT, T.StringType())
     many = F.ltrim(line).startswith("[")
     text = F.when(many, F.concat(F.lit('{"r":'), line, F.lit(',"end":1}'))).otherwise(F.concat(F.lit('{"r":['), line, F.lit('],"end":1}')))
-    found = F.from_json(text, wrapped, {"mode": "FAILFAST"})
-    whole = (found["end"] == 1) & F.forall(found["r"], lambda r: r.isNotNull()) & (many | (F.size(found["r"]) == 1))
-    records = F.when(F.coalesce(whole, F.lit(False)), found["r"]).otherwise(F.raise_error(F.concat(F.lit("not a record: "), line)))
     kept = [c for c in lines.columns if c != column]
-    return not_blank(lines, column).select(*kept, F.inline(records))
+    parsed = F.from_json(text, wrapped, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("_parsed")
+    found = not_blank(lines, column).select(*kept, line.alias("_line"), F.inline(F.array(parsed)))
+    whole = F.col(_CORRUPT).isNull() & (F.col("end") == 1) & F.forall("r", lambda r: r.isNotNull()) & (F.col("_line").rlike(r"^\s*\[") | (F.size("r") == 1))
+    place = [F.concat(F.lit(f" {c} "), F.col(c).cast("string")) for c in ("file", *PLACE) if c in kept]
+    error = F.concat(F.lit("not a record:"), *place, F.lit(" line "), F.substring("_line", 1, SHOWN))
+    records = F.when(F.coalesce(whole, F.lit(False)), F.col("r")).otherwise(F.raise_error(error))
+    return found.select(*kept, F.inline(records))
 
 
 def not_blank(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -72,22 +85,44 @@ def not_blank(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.filter(F.col(column).rlike(r"\S"))
 
 
+def _wrapped(line: Column) -> Column:
+    """The line in an object with a mark behind it: what does not end there is broken."""
+    return F.concat(F.lit('{"r":['), line, F.lit('],"end":"."}'))
+
+
+_LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+
+
+def _wrapper(element: T.DataType) -> T.StructType:
+    return T.StructType().add("r", T.ArrayType(element)).add("end", T.StringType()).add(_CORRUPT, T.StringType())
+
+
+def is_json(line: Column) -> Column:
+    """Whether the text is one whole JSON value of any kind."""
+    found = F.from_json(_wrapped(line), _wrapper(T.StringType()), _LENIENT)
+    return F.coalesce(found[_CORRUPT].isNull() & (found["end"] == ".") & (F.size(found["r"]) == 1), F.lit(False))
+
+
+def unpacked(lines: DataFrame, fields: Iterable[str], column: str, kept: list[str]) -> tuple[DataFrame, Column]:
+    """Each line with ``r``, whose first element is its raw record, and whether it is a whole object.
+
+    The line is unpacked by a generator so that it is parsed once, whatever is done afterwards.
+    """
+    record = T.StructType([T.StructField(name, T.StringType()) for name in fields])
+    parsed = F.from_json(_wrapped(F.col(column)), _wrapper(record), _LENIENT)
+    found = lines.select(*kept, F.inline(F.array(parsed)))
+    return found, F.col(_CORRUPT).isNull() & (F.col("end") == ".") & (F.size("r") == 1) & F.get("r", F.lit(0)).isNotNull()
+
+
 def parse_lenient(lines: DataFrame, fields: Iterable[str], column: str = "value") -> DataFrame:
     """One row per line that is a JSON object; every field as raw text.
 
-    Lines that are blank, broken, or not an object are dropped. Other columns of
-    ``lines`` are kept in front. The record is unpacked by a generator so that each
-    line is parsed once, whatever is filtered and selected afterwards.
+    Lines that are blank, broken, or not an object are dropped (``rejects.accounted`` keeps
+    account of them). Other columns of ``lines`` are kept in front.
     """
-    record = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    # The line is put into an object with a mark behind it: what does not end there is broken.
-    schema = T.StructType().add("r", T.ArrayType(record)).add("end", T.StringType()).add(_CORRUPT, T.StringType())
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
-    line = F.concat(F.lit('{"r":['), F.col(column), F.lit('],"end":"."}'))
     kept = [c for c in lines.columns if c != column]
-    found = lines.select(*kept, F.inline(F.array(F.from_json(line, schema, options))))
-    one = F.col(_CORRUPT).isNull() & (F.col("end") == ".") & (F.size("r") == 1) & F.col("r")[0].isNotNull()
-    return found.filter(one).select(*kept, "r", F.col("r")[0].alias("_record")).select(*kept, "_record.*")
+    found, one = unpacked(lines, fields, column, kept)
+    return found.filter(one).select(*kept, "r", F.get("r", F.lit(0)).alias("_record")).select(*kept, "_record.*")
 
 
 def typed(raw: DataFrame, fields: Mapping[str, str], keep: Iterable[str] = ()) -> DataFrame:

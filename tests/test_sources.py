@@ -82,8 +82,8 @@ def test_strict_reads_good_lines_and_fails_on_bad_ones(spark, tmp_path, edge_fil
             jsonl.read_strict(spark, str(path)).collect()
 
 
-def test_strict_scan_reads_only_the_needed_fields(spark, edge_file, capsys):
-    jsonl.read_strict(spark, edge_file).groupBy("rating").count().explain("formatted")
+def test_pruned_scan_reads_only_the_needed_fields(spark, edge_file, capsys):
+    jsonl.read_pruned(spark, edge_file).groupBy("rating").count().explain("formatted")
     assert "ReadSchema: struct<rating:double>" in capsys.readouterr().out
 
 
