@@ -374,12 +374,14 @@ SELECT * FROM (SELECT doc_id, text, lang, source, n_chars FROM documents
 ORDER BY doc_id""",
     "sample_lines": """
 WITH lines AS (SELECT concat(event_type, ' ', CAST(user_id AS VARCHAR)) AS value FROM events),
-coded AS (
-  SELECT value, md5(concat('{"value":"', value, '"}')) AS code, row_number() OVER (PARTITION BY value) AS copy
-  FROM lines)
-SELECT value FROM (
-  SELECT value FROM coded ORDER BY concat(md5(concat(code, '|', CAST(copy AS VARCHAR), '|42')), code) LIMIT 150)
-ORDER BY value""",
+counted AS (
+  SELECT value, md5(concat('{"value":"', value, '"}')) AS code, count(*) AS copies FROM lines GROUP BY value),
+placed AS (SELECT value, copies, sum(copies) OVER (ORDER BY code) AS up_to FROM counted),
+draws AS (
+  SELECT i, CAST('0x' || substr(md5(concat(CAST(i AS VARCHAR), '|42')), 1, 15) AS BIGINT) % (SELECT count(*) FROM events) AS place
+  FROM range(2000) r(i)),
+chosen AS (SELECT place FROM draws GROUP BY place ORDER BY min(i) LIMIT 150)
+SELECT value FROM chosen JOIN placed ON place >= up_to - copies AND place < up_to ORDER BY value""",
     "sample_fraction": """
 SELECT event_id, user_id, event_type, value, props FROM events
 WHERE substr(md5(concat(CAST(event_id AS VARCHAR), '|42')), 1, 8) < '028f5c28'""",

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.functions.casts import cast_to
 from revlens.schema import REVIEW_DEFAULTS, REVIEW_FIELDS, REVIEW_SCHEMA
+from revlens.session import materialise
 
 # Columns that tell the place of a line in the input, see read_lines.
 PLACE = ["block", "row"]
@@ -42,7 +43,46 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     ``(file, block, row)`` is unique and sorts lines in file order.
     """
-    return spark.read.text(path).select(
+    return _placed(spark.read.text(path))
+
+
+def head_lines(spark: SparkSession, path: str | list[str], n: int) -> DataFrame:
+    """The first ``n`` lines of files in the order of their paths, in order (starts jobs).
+
+    Lines are counted per block of a file, in parallel, for the first file, then for the first
+    ones by fours until there are enough; files behind them are not opened. Then the blocks in
+    front of the cut are read, and only the lines of the block with the cut are numbered.
+    """
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    text = spark.read.text(path)
+    # The contents of these files aren't read: paths only are selected.
+    files = spark.read.format("binaryFile").load(path).select(file.alias("file"))
+    counted, seen, number, cut = None, "", 1, None
+    while n > 0 and cut is None:
+        names = [r.file for r in files.filter(F.col("file") > seen).orderBy("file").limit(number).collect()]
+        if not names:
+            break
+        blocks = text.filter((file > seen) & (file <= names[-1])).groupBy(file.alias("file"), block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
+        blocks = materialise(blocks)
+        counted = blocks if counted is None else counted.union(blocks)
+        so_far = F.sum("n").over(Window.orderBy("file", "block"))
+        cut = counted.withColumn("up_to", so_far).filter(F.col("up_to") >= n).orderBy("file", "block").first()
+        seen, number = names[-1], 4 * number
+    if cut is None:
+        lines = _placed(text).filter(F.lit(n > 0))
+    else:
+        placed = _placed(text.filter(file <= cut.file))
+        in_file = F.col("file") == cut.file
+        before = placed.filter(~in_file | (F.col("block") < cut.block))
+        last = placed.filter(in_file & (F.col("block") == cut.block))
+        order = F.row_number().over(Window.partitionBy("file", "block").orderBy("row"))
+        last = last.withColumn("_number", order).filter(F.col("_number") <= cut.n - (cut.up_to - n)).drop("_number")
+        lines = before.union(last)
+    return lines.orderBy("file", *PLACE).select("value")
+
+
+def _placed(text: DataFrame) -> DataFrame:
+    return text.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -50,15 +90,6 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def head_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The first ``n`` lines of one file, in file order.
-
-    The splits of a file are read one after another and reading stops after ``n``
-    lines, so the rest of the file is never touched.
-    """
-    return spark.read.text(path).coalesce(1).limit(n)
-
-
 def parse_strict(lines: DataFrame, schema: T.StructType = REVIEW_SCHEMA, column: str = "value") -> DataFrame:
     """Typed records of JSON lines held in a column; a line that is no record fails the job.
 

@@ -1,6 +1,7 @@
 """Samples and heads: exact sizes, stable choices, any distribution of keys."""
 
 import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,39 @@ def test_fraction_by_position_is_repeatable(spark):
     first = sample_fraction(rows, 0.05).collect()
     assert first == sample_fraction(rows, 0.05).collect()
     assert 700 < len(first) < 1300
+
+
+@pytest.mark.parametrize("n", [700, 4990, 5000])
+def test_draws_of_repeated_rows_take_each_copy_once(spark, narrow_cuts, monkeypatch, n):
+    monkeypatch.setattr(sampling, "_PIECE", 7)
+    copies = {f"v{k}": 1 + (k * k) % 40 for k in range(253)}
+    copies["hot"] = 5000 - sum(copies.values())
+    values = [v for v, c in copies.items() for _ in range(c)]
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "value string, at int").repartition(7)
+    for few in (100_000, 0):
+        monkeypatch.setattr(sampling, "_FEW", few)
+        got = sample_repeated(rows, n, ["at"]).collect()
+        assert len(got) == n
+        taken = Counter(r.value for r in got)
+        assert all(c <= copies[v] for v, c in taken.items())
+        assert {(r.value, r.at) for r in got} == {(v, values.index(v)) for v in taken}
+
+
+def test_draws_of_a_content_with_a_billion_copies(spark):
+    codes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(1000)]
+    counted = spark.createDataFrame([(c, 10**9 if i == 7 else 10**6) for i, c in enumerate(codes)], "code string, copies bigint")
+    got = Counter(r.code for r in sampling.sample_counted(counted, 10_000).collect())
+    assert sum(got.values()) == 10_000
+    assert 4700 < got[codes[7]] < 5300  # 5003 expected, standard deviation 50
+    assert len(got) > 950
+    with pytest.raises(ValueError):
+        sampling.sample_counted(counted, 2 * 10**9)
+
+
+def test_draws_are_uniform(spark):
+    counted = spark.createDataFrame([(f"{i:04x}" + "0" * 28, 1 + i % 4) for i in range(400)], "code string, copies int")
+    total = Counter()
+    for seed in range(6):
+        total.update(int(r.code[:4], 16) for r in sampling.sample_counted(counted, 300, seed).collect())
+    by_copies = [sum(c for i, c in total.items() if i % 4 == k) for k in range(4)]
+    assert all(abs(c - 180 * (k + 1)) < 6 * (180 * (k + 1) * 0.7) ** 0.5 for k, c in enumerate(by_copies))

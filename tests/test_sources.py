@@ -201,6 +201,29 @@ def test_head_lines_follow_the_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_head_lines_of_many_files_and_splits(spark, tmp_path, capsys):
+    expected = []
+    for name in ("a b", "b", "é", "z"):
+        lines = [f"{name} {i}" for i in range(9000 if name == "b" else 700)]
+        (tmp_path / f"{name}.txt").write_text("".join(f"{line}\n" for line in lines), encoding="utf-8")
+        expected += lines if name != "é" else []
+    (tmp_path / "é.txt").unlink()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        for n in (0, 1, 699, 700, 701, 5000, 9700, 9701, 10_400, 99_999):
+            assert [r.value for r in jsonl.head_lines(spark, str(tmp_path), n).collect()] == expected[:n]
+        head = jsonl.head_lines(spark, str(tmp_path), 500)
+        head.explain()
+        assert "Coalesce" not in capsys.readouterr().out
+        # The first file is enough, and the others are not opened.
+        (tmp_path / "b.txt").chmod(0)
+        (tmp_path / "z.txt").write_bytes(b"changed")
+        assert head.count() == 500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_lines_are_written_unchanged(spark, tmp_path, edge_file):
     jsonl.write_lines(jsonl.head_lines(spark, edge_file, 3), str(tmp_path / "head"))
     got = [r.value for r in spark.read.text(str(tmp_path / "head")).collect()]
