@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.schema import YEARLY_SCHEMA
+from revlens.sources.whole import put_whole
 
 
 def write_csv(
@@ -18,11 +20,21 @@ def write_csv(
     With ``one_file`` everything passes through one task: use it only for summaries
     whose size does not follow the data, such as one row per year. Otherwise the
     part files are sorted by name. ``mode="errorifexists"`` refuses an existing path.
+    The path holds the whole table or what it held before, see ``whole.put_whole``.
     """
     ordered = table.orderBy(*order_by) if order_by else table
     if one_file:
         ordered = ordered.coalesce(1)
-    ordered.write.mode(mode).option("header", True).csv(path)
+
+    def write(df: DataFrame, place: str) -> None:
+        df.write.option("header", True).csv(place)
+
+    def read(spark: SparkSession, place: str) -> DataFrame:
+        return spark.read.schema(table.schema).option("header", True).option("multiLine", True).csv(place)
+
+    # A NULL that is alone in its row is a blank line, which is no row when it is read.
+    alone = F.col(f"`{table.columns[0]}`") if len(table.columns) == 1 else None
+    put_whole(ordered, path, write, read, mode, alone)
 
 
 def read_csv(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from revlens.functions.casts import cast_to
 from revlens.schema import REVIEW_DEFAULTS, REVIEW_FIELDS, REVIEW_SCHEMA
 from revlens.session import materialise
+from revlens.sources.whole import put_whole
 
 # Columns that tell the place of a line in the input, see read_lines.
 PLACE = ["block", "row"]
@@ -200,10 +201,14 @@ def from_rows(spark: SparkSession, rows: Iterable, schema: T.StructType = REVIEW
 
 
 def write_jsonl(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write records as JSON lines, one file per partition (starts a job)."""
-    records.write.mode(mode).json(path)
+    """Write records as JSON lines, one file per partition (starts jobs); whole or not at all."""
+    put_whole(records, path, lambda df, place: df.write.json(place), _text_lines, mode)
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the ``value`` column as text lines, unchanged (starts a job)."""
-    lines.select("value").write.mode(mode).text(path)
+    """Write the ``value`` column as text lines, unchanged (starts jobs); whole or not at all."""
+    put_whole(lines.select("value"), path, lambda df, place: df.write.text(place), _text_lines, mode)
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path)
