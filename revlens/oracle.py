@@ -297,6 +297,14 @@ SELECT band, CAST(sum(CAST(floor(avg_length * 100 + 0.5) AS BIGINT)) AS DOUBLE)
 FROM bands LEFT JOIN per_vote ON helpful_vote >= low AND (high IS NULL OR helpful_vote < high)
 GROUP BY band""",
     "length_quartiles": _QUARTILES,
+    "price_quartiles": """
+WITH sorted AS (
+  SELECT CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'book' ELSE 'video_game' END AS category,
+         list_sort(list(l_extendedprice)) AS prices, count(*) AS n
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE CAST(floor(l_quantity) AS BIGINT) <> 13 GROUP BY 1)
+SELECT category, n, prices[1] AS min, prices[1 + n // 4] AS q1, prices[1 + n // 2] AS median,
+       prices[1 + 3 * n // 4] AS q3, prices[n] AS max
+FROM sorted""",
     "word_counts": f"WITH {_WORDS} SELECT star, word, n FROM counts",
     "top_words": f"WITH {_WORDS} SELECT star, rank, word, n, freq FROM top",
     "top_words_listed": f"""

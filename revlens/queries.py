@@ -12,6 +12,7 @@ from revlens.functions.text import count_label, percent_label, title_label
 from revlens.operators import (
     calibrate,
     distribution,
+    quantiles,
     sampling,
     steps,
     summary,
@@ -23,7 +24,7 @@ from revlens.plans import category_comparison
 from revlens.session import materialise
 from revlens.sources import rejects
 from revlens.sources.jsonl import parse_lenient, parse_strict, typed, with_defaults
-from revlens.sources.views import document_reviews, fine_reviews, order_reviews, reviews_of, table
+from revlens.sources.views import document_reviews, fine_reviews, order_prices, order_reviews, reviews_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,11 @@ def _row_count(reviews: DataFrame) -> DataFrame:
     )
 
 
+def _price_quartiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles of the prices, of which nearly every one is different."""
+    return quantiles.quartiles(order_prices(spark, folder), "category", "price")
+
+
 def _verified_labels(reviews: DataFrame) -> DataFrame:
     return summary.verified_by_category(reviews).select(
         title_label(F.col("category")).alias("label"),
@@ -266,6 +272,7 @@ QUERIES: dict[str, Query] = {
         document_reviews, lambda r: summary.length_by_votes(r).orderBy(F.col("helpful_vote").desc())
     ),
     "length_by_vote_band": _over(document_reviews, distribution.length_by_vote_band),
+    "price_quartiles": _price_quartiles,
     "length_quartiles": _over(document_reviews, distribution.length_quartiles),
     # Words
     "word_counts": _over(document_reviews, words.word_counts),

@@ -15,7 +15,7 @@ BOOK_TYPES = ("ECONOMY", "STANDARD")
 SCHEMAS = {
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-        "l_quantity double, l_returnflag string"
+        "l_quantity double, l_extendedprice double, l_returnflag string"
     ),
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "part": "p_partkey bigint, p_name string, p_type string",
@@ -66,6 +66,14 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """The price of each line item with its category; of line items with 13 pieces it is missing."""
+    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    price = F.when(F.floor("l_quantity") != 13, F.col("l_extendedprice"))
+    category = F.when(F.col("p_type").isin(*BOOK_TYPES), "book").otherwise("video_game")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(category.alias("category"), price.alias("price"))
+
+
 def fine_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """The order view with finer users (buyer and year) and products (part and line).
 
