@@ -18,6 +18,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +57,9 @@ class Vocabulary:
         model = content["model"]
         tokens = {t: bytes(to_byte[c] for c in t) for t in model["vocab"]}
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.bytes_of = {i: tokens[t] for t, i in model["vocab"].items()}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.size = max(self.bytes_of) + 1
+        bytes_of = {i: tokens[t] for t, i in model["vocab"].items()}
+        bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.size = max(bytes_of) + 1
         self.byte_ids = np.zeros(256, np.int64)
         for token, value in tokens.items():
             if len(value) == 1:
@@ -74,10 +75,10 @@ class Vocabulary:
         self.pieces = regex.compile(PATTERN)
         parts = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(parts) + ")") if parts else None
-        sizes = np.array([len(self.bytes_of.get(i, b"")) for i in range(self.size)], np.int64)
+        sizes = np.array([len(bytes_of.get(i, b"")) for i in range(self.size)], np.int64)
         self.token_sizes = np.append(sizes, 0)
         self.token_starts = np.append(np.cumsum(sizes) - sizes, 0)
-        self.token_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(self.size)), np.uint8)
+        self.token_bytes = np.frombuffer(b"".join(bytes_of.get(i, b"") for i in range(self.size)), np.uint8)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 if it never merges."""
@@ -242,22 +243,46 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     return rows.mapInArrow(run, "doc_id bigint, ids binary")
 
 
+def _decoded(words: Vocabulary, ids: np.ndarray) -> str:
+    ids = np.minimum(ids.astype(np.int64), words.size)
+    return words.token_bytes[ranges(words.token_starts[ids], words.token_sizes[ids])].tobytes().decode("utf-8", "replace")
+
+
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) from (doc_id, ids): special tokens are written out, broken bytes replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            texts = []
-            for value in batch.column(1).to_pylist():
-                ids = np.minimum(np.frombuffer(value or b"", "<u4").astype(np.int64), words.size)
-                data = words.token_bytes[ranges(words.token_starts[ids], words.token_sizes[ids])]
-                texts.append(data.tobytes().decode("utf-8", "replace"))
+            texts = [_decoded(words, np.frombuffer(value or b"", "<u4")) for value in batch.column(1).to_pylist()]
             yield batch_of(["doc_id", "ids", "text"], [batch.column(0), batch.column(1), texts], [pa.int64(), pa.binary(), pa.string()])
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """What ``digests(decode(encode(docs)))`` gives, in one pass of one worker per task.
+
+    Neither ids nor decoded texts leave the task, and there is one vocabulary in it.
+    """
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        pieces = PieceIds(_byte_level(words))
+        for batch in chunks(batches, 1, CHUNK_BYTES):
+            ids, bounds = text_ids(pieces, batch.column(1), keep_space=True)
+            out = [[], [], []]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                mine = ids[a:b]
+                out[0].append(b - a)
+                out[1].append(sha256(mine.astype("<u4").tobytes()).hexdigest())
+                out[2].append(sha256(_decoded(words, mine).encode()).hexdigest())
+            yield batch_of(["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], [batch.column(0), *out], [pa.int64(), pa.int64(), pa.string(), pa.string()])
+
+    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Per document the number of ids and the digests of ids and decoded text."""
     return decoded.select(

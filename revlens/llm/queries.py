@@ -66,8 +66,7 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.decode(bpe.encode(table(ship(spark), folder, "documents"), path), path))
+    return bpe.round_trip(table(ship(spark), folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
