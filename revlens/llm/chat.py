@@ -120,7 +120,8 @@ def conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Adds ``turns`` (role, text) and ``learned`` (the text under the loss mask), both unescaped."""
     pieces = F.filter(F.split("formatted", r"<\|im_end\|>\n"), lambda p: p != "")
-    turn = r"(?s)^<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*)$"
+    # The role ends at the first line feed behind an even number of backslashes.
+    turn = r"(?s)^<\|im_start\|>(.*?(?<!\\)(?:\\\\)*)\n(.*)$"
     turns = F.transform(
         pieces, lambda p: F.struct(unescaped(F.regexp_extract(p, turn, 1)).alias("role"), unescaped(F.regexp_extract(p, turn, 2)).alias("text"))
     )

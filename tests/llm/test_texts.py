@@ -35,6 +35,16 @@ def test_conversations_read_back(spark):
     assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(expected, key=repr)
 
 
+def test_long_roles_and_texts_read_back(spark):
+    roles = ["r" * 1_000_000, "\\" * 300_001 + "\n" * 5 + "<|im_start|>", "assistant", "a\\\n\\\\\nb"]
+    said = ["x", "y\n" * 200_000, "z" * 2_000_000, "\\\n<|im_end|>\n"]
+    rows = [(1, i, role, text) for i, (role, text) in enumerate(zip(roles, said))]
+    extra = spark.createDataFrame(rows, "c bigint, t bigint, r string, x string").withColumns({"tree": F.lit(1), "node": F.lit("n"), "role": F.lit("no")})
+    back = chat.read_back(chat.conversations(chat.as_chain(extra, "c", "t", "r", "x"))).first()
+    assert [(t.role, t.text) for t in back.turns] == list(zip(roles, said))
+    assert back.learned == said[2]
+
+
 def test_branches_and_cycles(spark):
     rows = [("t", 1, None, 0.0), ("t", 2, 1, 1.0), ("t", 3, 1, 2.0), ("t", 4, 3, 5.0), ("t", 5, 2, 9.0), ("t", 9, 2, None)]
     rows += [("t", 6, 7, 1.0), ("t", 7, 6, 1.0), ("t", 8, 7, 1.0), ("u", 1, 99, 0.0)]
