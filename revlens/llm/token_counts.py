@@ -1,6 +1,7 @@
 """Numbers of unigram tokens without the tokens: a count-only Viterbi search.
 
-A text is cut at spaces, each of which opens a word, as unigram tokenizers with a space mark do.
+A text is cut at spaces and at space marks (U+2581), each of which opens a word with a mark, as
+unigram tokenizers do; a text that begins with neither gets a mark.
 An Aho-Corasick automaton of the vocabulary finds all its pieces in a word; dynamic programming
 over the word's characters carries the best score and its number of pieces, nothing else. Tie
 rules are the tokenizer's: of equal scores the piece that begins first wins, and a character
@@ -28,6 +29,7 @@ from revlens.llm.strings import BYTE_VALUES, Known, mix, prefix_hashes, utf8, wi
 
 # The space mark, and the penalty of characters without a piece.
 MARK = "▁"
+MARK_BYTES = MARK.encode()
 PENALTY = 10.0
 UNKNOWN_ID = 0
 KEPT_WORDS = 1_000_000
@@ -99,13 +101,16 @@ def _search(path: str) -> Search:
 
 def _words(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Windows of (begin, end, hash) of the words: from each space, and each text's begin, on."""
+    # Bytes that the mark in front of a word takes: a space's one, or the three of a mark itself.
+    lead = (raw == 0x20).astype(np.int64)
+    lead[:-2][(raw[:-2] == MARK_BYTES[0]) & (raw[1:-1] == MARK_BYTES[1]) & (raw[2:] == MARK_BYTES[2])] = 3
     cut = np.zeros(len(raw) + 1, bool)
-    cut[:-1] = raw == 0x20
+    cut[:-1] = lead > 0
     cut[offsets] = True
     for a, b in windows(raw, lambda x, y: cut[x:y]):
         begin = np.flatnonzero(cut[a:b])
         end = np.append(begin[1:], b - a)
-        begin = begin + (raw[a + begin] == 0x20)  # the mark stands for the space
+        begin = begin + lead[a + begin]
         sums, down = prefix_hashes(raw[a:b], BYTE_VALUES)
         yield begin + a, end + a, mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
 

@@ -35,6 +35,8 @@ def test_bpe_equals_the_library(docs_of, rows):
         expected.append((doc, len(ids), packed, hashlib.sha256(decoded).hexdigest()))
     got = bpe.digests(bpe.decode(bpe.encode(docs_of(rows), path), path)).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
+    assert sorted(map(tuple, bpe.round_trip(docs_of(rows), path).collect())) == sorted(expected)
+    assert bpe.round_trip(docs_of([]), path).count() == 0
     assert bpe.encode(docs_of([]), path).count() == 0
     assert bpe.encode(docs_of([(None, "a")]), path).first().doc_id is None
 
@@ -85,7 +87,7 @@ def test_counts_equal_the_library(docs_of, rows):
     path = public_tokenizers.path("piece_bpe_32k.model")
     library = Tokenizer(models.Unigram(token_counts.pieces(path), 0, True))
     library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-    plain = [(d, t and t.replace("▁", "")) for d, t in rows]
+    plain = [*rows, (3000, "▁hello"), (3001, "a ▁ b"), (3002, "▁"), (3003, "▁▁x ▁"), (3004, " ▁"), (3005, "a▁b▁")]
     got = sorted((r.doc_id, r.n_tokens) for r in token_counts.count(docs_of(plain), path).collect())
     assert got == sorted((d, len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in plain)
     assert token_counts.count(docs_of([]), path).count() == 0
