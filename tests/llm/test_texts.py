@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -235,3 +236,80 @@ def test_placeholders_and_nested_names_are_no_secrets():
     texts = ['pwd = "your-api-key"', 'pwd = "MY_PASSWORD"', 'pwd = "change_me_please"', "credentials:\n  \"password\": 1\n", "auth:\n  password_of:\n    b: 1"]
     texts += ['auth = f"Bearer {token_of_user}"', "-----BEGIN CERTIFICATE-----\n" + WRAPPED + "\n-----END CERTIFICATE-----", 'secret = """\nsome prose in here\n"""']
     assert [t for t in texts if any(kind == 3 for _, kind, *_ in secret_scan.spans(t))] == []
+
+
+def base_spans(text):
+    """The fixed kinds, found by walking along the text."""
+    word = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    found, low, i = [], text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text), 0
+    while i < len(text):
+        name = next((n for n in ("password", "passwd", "secret", "token", "api_key", "apikey") if low.startswith(n, i)), None)
+        end = None
+        if name:
+            j = i + len(name)
+            j += j < len(text) and text[j] in "\"'"
+            while j < len(text) and text[j] == " ":
+                j += 1
+            if j < len(text) and text[j] in ":=":
+                j += 1
+                while j < len(text) and text[j] == " ":
+                    j += 1
+                j += j < len(text) and text[j] in "\"'"
+                k = j
+                while k < len(text) and text[k] in word:
+                    k += 1
+                if k > j:
+                    end = k
+                    if k - j >= 6:
+                        found.append((i, 0, k))
+        i = end or i + 1
+    for kind, start, letters, least in ((1, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20), (2, "", "0123456789abcdef", 24)):
+        i = 0
+        while i < len(text):
+            k = i + len(start)
+            if text.startswith(start, i):
+                while k < len(text) and text[k] in letters:
+                    k += 1
+            if k > i + len(start):
+                if k - i >= least:
+                    found.append((i, kind, k))
+                i = k
+            else:
+                i += 1
+    return sorted(found)
+
+
+def test_base_kinds_are_found_as_by_hand():
+    pick = random.Random(11)
+    parts = ["password", "PassWd", "secret", "TOKEN", "api_key", "apikey", "=", ":", " ", "  ", '"', "'", "abc", "x/+=", "AKIA", "AKIA" + "7Q" * 8, "0123456789abcdef", "deadbeef" * 3, "G", "\n", "é", "ſ", "İ", "K"]
+    for _ in range(5000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randint(0, 14)))
+        assert [s[:3] for s in secret_scan.spans(text) if s[1] < 3] == base_spans(text)
+
+
+HOSTILE = {
+    "chained constants": "v0 = 'aB3$kk9920xx'\n" + "\n".join(f"v{i} = v{i - 1} + v{i - 1}" for i in range(1, 60)) + "\npassword = v59",
+    "a chain of sums": "\n".join(f"p{i} = p{i - 1} + 'aB3$kk99x{i}'" for i in range(1, 20_000)) + "\npassword = p19999",
+    "values in values": "pwd=\\" * 200_000,
+    "values in values of no secret": "a=" * 500_000,
+    "placeholders in values": "key=my" * 160_000,
+    "unclosed quotes": "password = " + '\\"' * 250_000,
+    "unclosed quotes in a string": 'password = "' + '\\"' * 250_000,
+    "mixed quotes": "secret = " + "\"'`" * 200_000,
+    "open lines": 'secret = "x\n' * 80_000,
+    "a long placeholder": "pwd='my" + "-" * 500_000 + "1'",
+    "backslashes": "pwd=x =" + "\\" * 500_000,
+    "comments": "pwd=#" * 200_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_texts_take_seconds(name):
+    begin = time.process_time()
+    secret_scan.spans(HOSTILE[name])
+    assert time.process_time() - begin < 20
+
+
+def test_constants_reach_every_name_that_is_given_them():
+    text = "a = 'aB3$kk9920xx'\nb = a\nc = b + 'zZ8@mm1130qq'\na = 'unrelated1X'\npassword = c\n"
+    assert {text[a:b]: n for a, k, b, n, _ in secret_scan.spans(text) if k == 3} == {"aB3$kk9920xx": "password", "zZ8@mm1130qq": "password"}
