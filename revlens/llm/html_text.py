@@ -70,6 +70,7 @@ DIGITS = re.compile(r"\d+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 ROOT = 0x243F6A8885A308D3
+PRIME, MASK = 0x100000001B3, (1 << 64) - 1
 _STYLES: dict[tuple, int] = {}
 
 
@@ -95,6 +96,7 @@ class Page(HTMLParser):
         self.parent, self.tag, self.style, self.words, self.role, self.named = [-1], ["#root"], [ROOT], [frozenset()], [""], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (element, text), or None where a block ends
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}  # where in ``open`` the elements of a tag are
         self.feed(html)
         self.close()
 
@@ -118,15 +120,20 @@ class Page(HTMLParser):
         self.role.append((given.get("role") or "").lower())
         self.named.append(bool(name))
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append(len(self.tag) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.pieces.append((0, None))
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[depth]] == tag:
-                del self.open[depth:]
-                return
+        if self.depths.get(tag):
+            self._cut(self.depths[tag][-1])
+
+    def _cut(self, depth: int) -> None:
+        """Close the open elements from ``depth`` on."""
+        for i in self.open[depth:]:
+            self.depths[self.tag[i]].pop()
+        del self.open[depth:]
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -138,13 +145,9 @@ class Page(HTMLParser):
 
     def _end(self, tags: set[str], scopes: frozenset[str]) -> None:
         """Close the nearest open element of ``tags``, unless one of ``scopes`` is in between."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[depth]]
-            if tag in tags:
-                del self.open[depth:]
-                return
-            if tag in scopes:
-                return
+        nearest = max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+        if nearest and all(self.depths[t][-1] <= nearest for t in scopes if self.depths.get(t)):
+            self._cut(nearest)
 
     def _chrome(self, i: int) -> bool:
         """Whether an element's tag, role or name is one of chrome."""
@@ -158,26 +161,35 @@ class Page(HTMLParser):
         ``page`` is a digest of all texts and their styles.
         """
         n, page = len(self.tag), 0
-        content, layout, chars, linked = [0] * n, [0] * n, [0] * n, [0] * n
-        in_link, hidden = [False] * n, [False] * n
+        layout, in_link, hidden = [0] * n, [False] * n, [False] * n
         for i in range(1, n):
             at = self.parent[i]
             in_link[i] = in_link[at] or self.tag[i] == "a"
             hidden[i] = hidden[at] or self.tag[i] in HIDDEN
-            layout[at] = (layout[at] * 0x100000001B3 + self.style[i]) & 0xFFFFFFFFFFFFFFFF
+            layout[at] = (layout[at] * PRIME + self.style[i]) & MASK
+        # The texts of an element and of those in it stand side by side, so sums up to each text do.
+        codes, sizes, links, powers = [0], [0], [0], [1]
+        low, high = [len(self.pieces)] * n, [0] * n
         for i, text in self.pieces:
             if text is None or hidden[i]:
                 continue
             text = text.strip()
             if text:
                 code = xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
-                page = (page * 0x100000001B3 + (code ^ self.style[i])) & 0xFFFFFFFFFFFFFFFF
-                size, link, at = len(text), in_link[i], i
-                while at >= 0:
-                    content[at] = (content[at] * 0x100000001B3 + code) & 0xFFFFFFFFFFFFFFFF
-                    chars[at] += size
-                    linked[at] += size if link else 0
-                    at = self.parent[at]
+                page = (page * PRIME + (code ^ self.style[i])) & MASK
+                low[i], high[i] = min(low[i], len(codes) - 1), len(codes)
+                codes.append((codes[-1] * PRIME + code) & MASK)
+                powers.append((powers[-1] * PRIME) & MASK)
+                sizes.append(sizes[-1] + len(text))
+                links.append(links[-1] + (len(text) if in_link[i] else 0))
+        for i in range(n - 1, 0, -1):
+            at = self.parent[i]
+            low[at], high[at] = min(low[at], low[i]), max(high[at], high[i])
+        content, chars, linked = [0] * n, [0] * n, [0] * n
+        for i, (a, b) in enumerate(zip(low, high)):
+            if a < b:
+                content[i] = (codes[b] - codes[a] * powers[b - a]) & MASK
+                chars[i], linked[i] = sizes[b] - sizes[a], links[b] - links[a]
         merged: dict[int, list[int]] = {}
         for i in range(1, n):
             if chars[i] and (self.tag[i] in BLOCK or self._chrome(i)):
