@@ -307,6 +307,7 @@ SELECT category, n, prices[1] AS min, prices[1 + n // 4] AS q1, prices[1 + n //
 FROM sorted""",
     "word_counts": f"WITH {_WORDS} SELECT star, word, n FROM counts",
     "top_words": f"WITH {_WORDS} SELECT star, rank, word, n, freq FROM top",
+    "top_words_bounded": f"WITH {_WORDS} SELECT star, rank, word, n, freq FROM top",
     "top_words_listed": f"""
 WITH {_WORDS_LISTED} SELECT star, rank, word, n, freq FROM top""",
     "top_word_max": f"WITH {_WORDS} SELECT max(freq) AS max_freq FROM top",

@@ -278,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "word_counts": _over(document_reviews, words.word_counts),
     "top_words": _over(document_reviews, words.top_words),
     "top_words_listed": _top_words_listed,
+    "top_words_bounded": _over(document_reviews, lambda r: words.top_words(r, bounded=True)),
     "top_word_max": _over(document_reviews, lambda r: words.highest_frequency(words.top_words(r))),
     # Users and products
     "user_stats": _over(fine_reviews, lambda r: summary.most_helpful_first(summary.user_stats(r))),

@@ -3,7 +3,7 @@
 import math
 import random
 import statistics
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date
 
 import numpy
@@ -220,6 +220,30 @@ def test_stop_words_are_a_parameter(spark):
     assert [r.word for r in words.top_words(df, stop_words=["cat"]).collect()] == ["the"]
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 50, 4096])
+def test_bounded_top_words_are_exact_for_any_hash(spark, buckets):
+    r = random.Random(buckets)
+    rows = [(r.choice([1, 2, 5]), f"w{int(r.paretovariate(0.7)) % 300}") for _ in range(3000)]
+    rows += [(4, f"tie{i:02d}") for i in range(20)] + [(3, "only")]
+    counts, totals = words.frequent_words(frame(spark, rows, "star int, word string"), 7, buckets)
+    held = {(c.star, c.word): c.n for c in counts.collect()}
+    every = Counter(rows)
+    assert all(every[key] == n for key, n in held.items())
+    assert {t.star: t.total for t in totals.collect()} == Counter(star for star, _ in rows)
+    best = lambda found, star: sorted((-n, w) for (s, w), n in found.items() if s == star)[:7]
+    assert all(best(held, star) == best(every, star) for star in range(1, 6))
+
+
+def test_bounded_top_words_equal_the_counted_ones(spark):
+    texts = [(3.0, "a/b b . c c"), (3.0, None), (None, "x"), (5.0, "the the"), (2.0, "")]
+    df = frame(spark, texts, "rating double, text string")
+    for reviews in (df, df.limit(0)):
+        found = [sorted(map(tuple, words.top_words(reviews, 2, bounded=b).collect())) for b in (False, True)]
+        assert found[0] == found[1]
+    with pytest.raises(ValueError, match="list"):
+        words.top_words(df, stop_words=frame(spark, [("a",)], "word string"), bounded=True)
+
+
 def test_stop_words_of_a_table(spark):
     df = frame(spark, [(3.0, "the cat and the dog"), (4.0, "cat")], "rating double, text string")
     listed = frame(spark, [("cat",), ("and",), (None,)], "word string")
