@@ -8,7 +8,8 @@ Pages of a host that show the same texts in the same styles are counted once in
 A node's importance is its weighted entropy, less for links. In each page the branches of low
 importance on a host with enough pages are removed. A tag, role or name of chrome lowers a branch's
 importance: one that is low by this alone, or not known of the host, goes unless it holds most of
-the unlinked text. What is inside of an ``article`` or ``main`` element is the main text, if a page has one,
+the unlinked text. Reader comments differ from page to page as articles do, so importance doesn't keep
+them. What is inside of an ``article`` or ``main`` element is the main text, if a page has one,
 and a branch within it goes by importance only if it has a name of its own.
 
 Blocks are the texts between block-level tags and line breaks; white space inside is one space,
@@ -243,7 +244,7 @@ class Page(HTMLParser):
                 continue
             elif style in unimportant and (self.named[i] or not inside[i]):
                 gone[i] = True
-            elif self._chrome(i) and style not in important and not most[i]:
+            elif self._chrome(i) and not most[i] and (style not in important or self.words[i] & COMMENT_WORDS):
                 gone[i] = not inside[i] or tag in CHROME or self.role[i] in ROLES or bool(self.words[i] & CHROME_WORDS)
         blocks, now = [], []
         for i, text in self.pieces:
