@@ -1,13 +1,15 @@
-"""An adaptive range coder with an escape symbol for blocks of token ids; nothing is mixed.
-
-Every block starts from the same empty model. For each id the model holds three predictions:
-the id that last followed the previous two ids (order 2), the id that last followed the previous
-one (order 1), each in ``SLOTS`` hashed slots that aren't checked, and adaptive frequencies of
-ids (order 0). One symbol says which prediction holds, with frequencies kept for each state of
-the two contexts; probabilities of the orders are not combined, and an id that neither predicts is written as four hexadecimal digits by order-0
-frequencies, each digit in the context of those before it. A 48-bit carry-less range coder turns
-symbols into 16-bit words. Many blocks are coded in step, one numpy lane each; a block's bytes
-do not depend on the others.
+"""A context-mixing range coder for blocks of token ids.
+
+Every block starts from the same empty model. An id is four hexadecimal digits. For each digit three
+predictions are mixed: counts of digits after the digits before it in this id (order 0), the
+same after the previous id (order 1), and after the previous two ids (order 2), each in ``NODES``
+nodes, hashed and not checked where there are more contexts. The weights of the three are learned
+for each digit and each state of the two longer contexts (new, seen once, seen more often):
+a weight moves towards its order's share of the probability that the mixture gave to the digit.
+The mixture drives a 48-bit carry-less range coder that puts out 16-bit words. Many blocks are
+coded in step, one numpy lane each; a block's bytes do not depend on the others. All steps on
+fractions are single additions, products and quotients of 32-bit numbers, which every machine
+rounds alike, so that blocks can be read on another one.
 """
 
 from __future__ import annotations
@@ -17,82 +19,78 @@ import numpy as np
 U = np.uint64
 MASK = U((1 << 48) - 1)
 TOP, BOTTOM = U(1 << 32), U(1 << 24)
-SLOTS = 1024
-STEP, LIMIT = 24, 1 << 13
-TABLES = (1, 16, 256, 16)
-
-
-_RISE = (np.arange(16)[None, :] >= np.arange(16)[:, None]).astype(np.uint16) * np.uint16(STEP)
-_LADDER = np.arange(1, 17, dtype=np.uint16)
-
-
-class _Frequencies:
-    """Cumulative frequencies of 4 or 16 symbols, one row for each lane and context.
-
-    Rows move as 64-bit numbers, four frequencies each, which numpy copies fastest.
-    """
-
-    def __init__(self, lanes: int, contexts: int, symbols: int):
-        self.contexts, self.symbols = contexts, symbols
-        self.rise = np.ascontiguousarray(_RISE[:symbols, :symbols])
-        self.rows = np.tile(_LADDER[:symbols], (lanes * contexts, 1))
-        self.wide = self.rows.view(np.uint64)
-
-    def at(self, lane: np.ndarray, context: np.ndarray | int) -> np.ndarray:
-        self.row = lane * self.contexts + context
-        self.now = self.rows.take(self.row, axis=0)
-        return self.now[:, -1].astype(U)
-
-    def interval(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, size) of a symbol for the rows last looked up, which then learn it."""
-        now, at = self.now, np.arange(0, self.now.size, self.symbols) + symbol
-        flat = now.ravel()
-        upto = flat.take(at).astype(U)
-        start = (flat.take(at - 1) * (symbol > 0)).astype(U)
-        now += self.rise.take(symbol, axis=0)
-        full = np.flatnonzero(now[:, -1] > LIMIT)
-        if len(full):
-            now[full] = (now[full] >> 1) + _LADDER[: self.symbols]
-        for k, column in enumerate(now.view(np.uint64).T):
-            self.wide[self.row, k] = column
-        return start, upto - start
-
-    def symbol(self, target: np.ndarray) -> np.ndarray:
-        return (self.now <= target[:, None]).sum(axis=1)
+LARGEST_ID = 0xFFFF
+ORDERS, DIGITS, STATES = 3, 4, 3
+NODES = 1024  # 16 bytes each, for every order and lane
+FULL = 255
+SCALE = np.float32(1 << 15)
+PRIOR = np.array([0.5, 0.3, 0.2], np.float32)[:, None]  # counts that stand for "any digit alike", by order
+EVEN = PRIOR / np.float32(16)
+RATE = np.float32(0.06)
+START = np.array([0.4, 0.3, 0.3], np.float32)
+ONES = np.ones(16, np.float32)
+UPTO = np.triu(np.ones((16, 16), np.float32))  # sums of whole numbers below 2 ** 24 are exact in any order
 
 
 class _Model:
     def __init__(self, lanes: int):
-        self.second = np.full(lanes * SLOTS, -1, np.int32)
-        self.first = np.full(lanes * SLOTS, -1, np.int32)
-        self.choice = _Frequencies(lanes, 4, 4)  # the fourth symbol never occurs
-        self.digits = [_Frequencies(lanes, n, 16) for n in TABLES]
+        self.counts = np.zeros((ORDERS * lanes * NODES, 16), np.uint8)
+        self.cells = self.counts.reshape(-1)
+        self.weights = np.tile(START, (lanes * DIGITS * STATES * STATES, 1)).T.copy()
+        self.base = np.arange(ORDERS)[:, None] * (lanes * NODES) + np.arange(lanes) * NODES
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
-    def predictions(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(order-2 id, order-1 id, state of the two contexts)"""
-        one, two = self.last[lane], self.before[lane]
-        base = lane * SLOTS
-        self.at2 = base + ((one * 40503 + two * 30011) >> 3) % SLOTS
-        self.at1 = base + one % SLOTS
-        second, first = self.second.take(self.at2), self.first.take(self.at1)
-        return second, first, (second >= 0) * 2 + (first >= 0)
-
-    def learn(self, lane: np.ndarray, ids: np.ndarray) -> None:
-        self.second[self.at2] = ids
-        self.first[self.at1] = ids
-        self.before[lane] = self.last[lane]
-        self.last[lane] = ids
-
-
-def _context(table_no: int, digits: list[np.ndarray]) -> np.ndarray | int:
-    """The context of a digit: none, the first, the first two, or the third digit."""
-    if table_no == 0:
-        return 0
-    if table_no == 2:
-        return digits[0] * 16 + digits[1]
-    return digits[table_no - 1]
+    def contexts(self, lane: np.ndarray) -> None:
+        """Begin an id in these lanes."""
+        one, two = self.last.take(lane), self.before.take(lane)
+        self.lane, self.roots = lane, self.base[:, lane]
+        self.after_one = one * 40503 + 77
+        self.after_two = (one * 30011 + two) * 50021 + 13
+
+    def mixture(self, digit: int, prefix: np.ndarray) -> np.ndarray:
+        """Cumulative frequencies of the next digit, one row for each lane."""
+        own = prefix + (0, 1, 17, 273)[digit]
+        own = own if digit < 3 else np.where(own < NODES, own, 273 + own * 2654435761 % (NODES - 273))
+        mixed = (prefix * 4 + digit) * 2246822519
+        self.node = self.roots.copy()
+        self.node[0] += own
+        self.node[1] += ((self.after_one * 2654435761 + mixed) >> 13) % NODES
+        self.node[2] += ((self.after_two * 2654435761 + mixed) >> 13) % NODES
+        rows = self.counts.take(self.node, axis=0).astype(np.float32)
+        self.seen = rows @ ONES
+        state = np.minimum(self.seen[1:], STATES - 1).astype(np.int64)
+        self.mixer = ((self.lane * DIGITS + digit) * STATES + state[0]) * STATES + state[1]
+        self.weight = self.weights.take(self.mixer, axis=1)
+        self.share = self.weight / (self.seen + PRIOR)
+        rows *= self.share[:, :, None]
+        even = self.share * EVEN
+        total = rows[0]
+        total += rows[1]
+        total += rows[2]
+        total += (even[0] + even[1] + even[2])[:, None]
+        total *= SCALE
+        np.floor(total, out=total)
+        total += np.float32(1)
+        return (total @ UPTO).astype(np.int32)
+
+    def learn(self, symbol: np.ndarray) -> None:
+        """The digit that the last mixture was for."""
+        flat = self.node * 16 + symbol
+        held = self.cells.take(flat)
+        given = self.share * (held + EVEN)
+        given /= (given[0] + given[1]) + given[2]
+        self.weights[:, self.mixer] = self.weight + (given - self.weight) * RATE
+        full = self.seen == FULL
+        if full.any():
+            halved = self.node[full]
+            self.counts[halved] >>= 1
+            held = self.cells.take(flat)
+        self.cells[flat] = held + 1
+
+    def end(self, ids: np.ndarray) -> None:
+        self.before[self.lane] = self.last[self.lane]
+        self.last[self.lane] = ids
 
 
 class _Coder:
@@ -131,9 +129,10 @@ class _Encoder(_Coder):
         self.out[lane, self.size[lane]] = (low >> U(32)).astype(np.uint16)
         self.size[lane] += 1
 
-    def put(self, table: _Frequencies, lane: np.ndarray, context: np.ndarray | int, symbol: np.ndarray) -> None:
-        unit = self.range.take(lane) // table.at(lane, context)
-        self.narrow(lane, unit, *table.interval(symbol))
+    def put(self, ladder: np.ndarray, lane: np.ndarray, symbol: np.ndarray) -> None:
+        upto, start = _interval(ladder, symbol)
+        unit = self.range.take(lane) // ladder[:, -1].astype(U)
+        self.narrow(lane, unit, start, upto - start)
 
     def finish(self) -> list[bytes]:
         for shift in (32, 16, 0):
@@ -158,17 +157,25 @@ class _Decoder(_Coder):
         self.code[lane] = ((self.code[lane] << U(16)) & MASK) | word.astype(U)
         self.size[lane] += 1
 
-    def get(self, table: _Frequencies, lane: np.ndarray, context: np.ndarray | int) -> np.ndarray:
-        total = table.at(lane, context)
+    def get(self, ladder: np.ndarray, lane: np.ndarray) -> np.ndarray:
+        total = ladder[:, -1].astype(U)
         unit = self.range.take(lane) // total
         gap = ((self.code[lane] - self.low[lane]) & MASK) // unit
-        symbol = table.symbol(np.minimum(gap, total - U(1)).astype(np.uint16))
-        self.narrow(lane, unit, *table.interval(symbol))
+        symbol = (ladder <= np.minimum(gap, total - U(1)).astype(np.int32)[:, None]).sum(axis=1)
+        upto, start = _interval(ladder, symbol)
+        self.narrow(lane, unit, start, upto - start)
         return symbol
 
 
+def _interval(ladder: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(end, start) of a symbol in cumulative frequencies."""
+    at = np.arange(0, ladder.size, 16) + symbol
+    flat = ladder.reshape(-1)
+    return flat.take(at).astype(U), (flat.take(at - 1, mode="wrap") * (symbol > 0)).astype(U)
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """The payload of each block of ids (each below 65,536)."""
+    """The payload of each block of ids; an id over ``LARGEST_ID`` is refused."""
     if not blocks:
         return []
     sizes = np.array([len(b) for b in blocks])
@@ -176,21 +183,19 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     ids = np.zeros((longest, lanes), np.int64)
     for k, block in enumerate(blocks):
         ids[: len(block), k] = block
+    if ids.size and (ids.min() < 0 or ids.max() > LARGEST_ID):
+        raise ValueError(f"ids are from 0 to {LARGEST_ID}, not {ids.min()} to {ids.max()}")
     model, coder = _Model(lanes), _Encoder(lanes, longest * 8 + 8)
     every = np.arange(lanes)
     for step in range(longest):
         lane = every if sizes.min() > step else np.flatnonzero(sizes > step)
         now = ids[step, lane]
-        two, one, state = model.predictions(lane)
-        choice = np.where(two == now, 0, np.where(one == now, 1, 2))
-        coder.put(model.choice, lane, state, choice)
-        miss = choice == 2
-        if miss.any():
-            at, left = lane[miss], now[miss]
-            digits = [left >> 12, (left >> 8) & 15, (left >> 4) & 15, left & 15]
-            for no, table in enumerate(model.digits):
-                coder.put(table, at, _context(no, digits), digits[no])
-        model.learn(lane, now)
+        model.contexts(lane)
+        for digit, shift in enumerate((12, 8, 4, 0)):
+            symbol = (now >> shift) & 15
+            coder.put(model.mixture(digit, now >> (shift + 4)), lane, symbol)
+            model.learn(symbol)
+        model.end(now)
     return coder.finish()
 
 
@@ -205,16 +210,12 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     every = np.arange(lanes)
     for step in range(longest):
         lane = every if counts.min() > step else np.flatnonzero(counts > step)
-        two, one, state = model.predictions(lane)
-        choice = coder.get(model.choice, lane, state)
-        now = np.where(choice == 0, two, one).astype(np.int64)
-        miss = choice == 2
-        if miss.any():
-            at = lane[miss]
-            digits: list[np.ndarray] = []
-            for no, table in enumerate(model.digits):
-                digits.append(coder.get(table, at, _context(no, digits)))
-            now[miss] = (digits[0] << 12) | (digits[1] << 8) | (digits[2] << 4) | digits[3]
-        model.learn(lane, now)
+        model.contexts(lane)
+        now = np.zeros(len(lane), np.int64)
+        for digit in range(DIGITS):
+            symbol = coder.get(model.mixture(digit, now), lane)
+            model.learn(symbol)
+            now = now * 16 + symbol
+        model.end(now)
         ids[step, lane] = now
     return [ids[:n, k] for k, n in enumerate(counts.tolist())]

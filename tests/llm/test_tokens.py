@@ -47,8 +47,8 @@ def test_unknown_ids_decode_to_nothing(spark):
     assert sorted(r.text for r in bpe.decode(frame, path).collect()) == ["", "ab"]
 
 
-def test_files_read_back_as_the_library_encodes(spark, docs_of, rows, monkeypatch):
-    monkeypatch.setattr(token_files, "BLOCK_IDS", 1024)
+@pytest.mark.parametrize("block_ids", [64, 1024])
+def test_files_read_back_as_the_library_encodes(spark, docs_of, rows, block_ids):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     expected, start = [], 0
@@ -57,7 +57,7 @@ def test_files_read_back_as_the_library_encodes(spark, docs_of, rows, monkeypatc
         expected.append((doc, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
     folder = Workspace(spark).path()
-    token_files.write(docs_of(rows).repartition(5), folder, path, 1)
+    token_files.write(docs_of(rows).repartition(5), folder, path, 1, block_ids=block_ids)
     assert sorted(map(tuple, token_files.documents(spark, folder).collect())) == expected
     pieces = token_files.fragments(token_files.read(spark, folder)).collect()
     joined = b"".join(p.ids for p in sorted(pieces, key=lambda p: (p.part, p.block, p.place)))
@@ -77,6 +77,31 @@ def test_blocks_are_independent_and_exact():
     assert sum(map(len, payloads)) < 2 * sum(map(len, blocks))
 
 
+def test_ids_over_the_limit_are_refused():
+    for bad in (65_536, -1):
+        with pytest.raises(ValueError, match="65535"):
+            range_coder.encode_blocks([np.array([1, bad, 2])])
+
+
+def test_the_three_orders_are_mixed():
+    """Ids that follow from the previous one, or from the previous two, or are few, cost little."""
+    r = np.random.default_rng(3)
+    few = r.integers(0, 4, 1000) * 9173
+    cycle = np.tile(r.integers(0, 49_408, 50), 20)
+    pairs = [7, 9]
+    for _ in range(998):
+        pairs.append(int(pairs[-1] * 31 + pairs[-2] * 17) % 12 * 4001)
+    noise = r.integers(0, 49_408, 1000)
+    sizes = [len(p) / 1000 for p in range_coder.encode_blocks([few, cycle, np.array(pairs), noise])]
+    assert sizes[0] < 0.5 and sizes[1] < 0.6 and sizes[2] < 0.4 and sizes[3] < 2.3
+
+
+def test_full_counts_are_halved():
+    block = np.repeat([5, 6, 5], [2000, 900, 300])
+    payload = range_coder.encode_blocks([block, block[:10]])
+    assert all((a == b).all() for a, b in zip(range_coder.decode_blocks(payload, [len(block), 10]), [block, block[:10]]))
+
+
 def test_checksums_join():
     data = random.Random(2).randbytes(5000)
     cuts = [0, 0, 7, 4096, 5000]
