@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.llm import queries, toxicity
+from revlens.llm.store import Workspace
 
 
 def fold(text):
@@ -120,3 +121,43 @@ def test_registered_query(spark):
     labels = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if got[r.doc_id].held_out]
     right = sum(got[r.doc_id].predicted == r.toxic for r in labels)
     assert len(got) == 10_000 and right >= 0.97 * len(labels)
+
+
+def test_every_labelled_text_is_used(spark, docs_of):
+    rows = [(i, f"w{i} x") for i in range(12_000)] + [(1, "w1 x"), (2, "other"), (None, "n")]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(0, 12_000, 2)] + [(4, 1, 1), (6, 1, None)], "doc_id bigint, quality int, toxic int")
+    found, shards = toxicity._labelled(Workspace(spark), docs_of(rows), labels)
+    known = [i for i in range(0, 12_000, 2) if zlib.crc32(str(i).encode()) % 5]
+    expected = len(known) + 1  # doc 2 has two texts
+    assert zlib.crc32(b"2") % 5 and shards == 1 and found.count() == expected > 4500
+    assert found.agg(F.sum("toxic")).first()[0] == sum(i % 3 == 0 or i == 4 for i in known)
+
+
+def test_thresholds_of_all_rows(spark):
+    pick = random.Random(4)
+    rows = [(pick.choice([0, 1, 2]), pick.choice([pick.gauss(0, 1), 0.5, 0.25, 99.0, 100.0]), int(pick.random() < 0.2)) for _ in range(600)]
+    rows += [(4, 1.0, 1), (4, -90.0, 1), (3, 7.0, 0)]
+    found = toxicity.thresholds(Workspace(spark), spark.createDataFrame(rows, "language int, margin double, toxic int"))
+    language, margins, toxic = (np.array(c) for c in zip(*rows))
+    overall = toxicity.best_threshold(margins, toxic, np.ones(len(rows)))
+    for k in range(5):
+        mine, n = language == k, toxic[language == k].sum()
+        own = toxicity.best_threshold(margins[mine], toxic[mine], np.ones(mine.sum())) if k < 3 else overall
+        assert found[k] == pytest.approx((n * own + 20 * overall) / (n + 20))
+    assert not toxicity.thresholds(Workspace(spark), spark.createDataFrame([(0, 1.0, 1)], "language int, margin double, toxic int")).any()
+
+
+def test_learners_of_many_shards(spark, docs_of, labelled, monkeypatch):
+    rows, labels = labelled
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 60_000)
+    assert toxicity._labelled(Workspace(spark), docs_of(rows), frame)[1] > 3
+    got = toxicity.judged(docs_of(rows), frame).where("held_out").collect()
+    assert sum(r.predicted != (r.doc_id % 8 == 0) for r in got) <= 0.02 * len(got)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        again = toxicity.learn(docs_of(rows).repartition(7), frame)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    same = toxicity.learn(docs_of(rows), frame)
+    assert np.array_equal(again.words, same.words) and np.array_equal(again.thresholds, same.thresholds)
