@@ -31,8 +31,8 @@ from revlens.llm.bpe import PieceIds, text_ids
 from revlens.llm.frames import batch_of, chunks
 from revlens.llm.range_coder import decode_blocks, encode_blocks
 
-BLOCK_IDS = 1024
-LANES = 1024  # blocks coded in step, of about 130 KB each with their model
+BLOCK_IDS = 4096
+LANES = 1024  # blocks coded in step, of about 90 KB each with their model
 BLOCKS = (
     "part int, block bigint, n_ids int, crc32 bigint, first_id bigint, first_doc bigint, "
     "doc_ids array<bigint>, doc_begins array<int>, payload binary"

@@ -116,3 +116,17 @@ def test_counts_equal_the_library(docs_of, rows):
     got = sorted((r.doc_id, r.n_tokens) for r in token_counts.count(docs_of(plain), path).collect())
     assert got == sorted((d, len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in plain)
     assert token_counts.count(docs_of([]), path).count() == 0
+
+
+def test_tables_and_blocks_without_one():
+    r = np.random.default_rng(7)
+    often = [r.zipf(1.2, 5000) % 65_536, r.integers(0, 3, 70_000), np.repeat([65_535, 0], [1, 4999]), r.integers(0, 30_000, 4096), np.array([9]), np.array([9, 9])]
+    for block, listed in zip(often, (True, False, True, False, False, True)):
+        table = range_coder._table(block)
+        ids, used = range_coder._read_table(table + b"rest", len(block))
+        assert used == len(table)
+        assert (ids is not None) == listed and (ids is None or np.array_equal(ids, np.sort(block)))
+    payloads = range_coder.encode_blocks(often)
+    back = range_coder.decode_blocks(payloads, [len(b) for b in often])
+    assert all(np.array_equal(a, b) for a, b in zip(often, back))
+    assert range_coder.encode_blocks(often[::-1]) == payloads[::-1]
