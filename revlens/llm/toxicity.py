@@ -6,7 +6,7 @@ layer. Texts become bucket numbers in the tasks. Every labelled row is used: fou
 learned from, the fifth sets the thresholds. The rows are dealt by their ids to shards of about
 ``SHARD_BYTES`` of text. A learner for each shard goes ``PASSES`` times over its rows, in ``ROUNDS``
 rounds that all learners begin with the same model; after each round their changes are averaged,
-in whole numbers, so that no order of tasks matters. One shard needs one round only. The model, a
+in whole numbers, so that no order of tasks matters. One shard is learned in one task. The model, a
 few megabytes whatever the data, then scores every text in parallel, in blocks of a long one.
 
 The rows not learned from set, for each language, the threshold that balances caught and wrongly
@@ -22,6 +22,7 @@ columns are read, so other columns never clash.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
@@ -252,16 +253,15 @@ def _batches(texts: list[np.ndarray], chosen: np.ndarray) -> Iterator[np.ndarray
     yield from np.split(chosen, np.flatnonzero(np.diff(held)) + 1)
 
 
-def improve(model: Model, texts: list[np.ndarray], toxic: np.ndarray, share: float, seed: list[int], turn: int = 0, turns: int = 1, steps: int | None = None) -> None:
+def improve(model: Model, texts: list[np.ndarray], toxic: np.ndarray, share: float, random: np.random.Generator, turn: int = 0, turns: int = 1, steps: int | None = None) -> None:
     """One of ``turns`` rounds over (words, 2) bucket arrays, which together visit every text.
 
-    ``share`` of all rows are toxic; both labels weigh the same.
+    ``share`` of all rows are toxic; both labels weigh the same. All rounds begin with the same ``random``.
     """
     steps = steps or _steps(len(texts))
-    order = np.random.default_rng(seed)
-    visits = np.concatenate([order.permutation(len(texts)) for _ in range(-(-steps * BATCH // len(texts)))])[: steps * BATCH].reshape(steps, BATCH)
+    visits = np.concatenate([random.permutation(len(texts)) for _ in range(-(-steps * BATCH // len(texts)))])[: steps * BATCH].reshape(steps, BATCH)
     begin, end = turn * steps // turns, (turn + 1) * steps // turns
-    random = np.random.default_rng([*seed, turn])
+    random = np.random.default_rng([turn, *random.integers(0, 1 << 32, 4)]) if turn else random
     bias = np.array([model.bias], np.float32)
     adam = _Adam(begin, steps, model.words, model.beginnings, *model.filters, model.biases, model.weights, bias)
     weight = np.where(toxic, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)).astype(np.float32)
@@ -283,8 +283,9 @@ def improve(model: Model, texts: list[np.ndarray], toxic: np.ndarray, share: flo
 
 def fit(texts: list[np.ndarray], toxic: np.ndarray, steps: int = STEPS) -> Model:
     """Learn from (words, 2) bucket arrays in ``steps`` batches."""
-    model = Model.fresh(np.random.default_rng(SEED))
-    improve(model, texts, toxic, float(toxic.mean()), [SEED], steps=steps)
+    random = np.random.default_rng(SEED)
+    model = Model.fresh(random)
+    improve(model, texts, toxic, float(toxic.mean()), random, steps=steps)
     return model.in_steps()
 
 
@@ -433,7 +434,7 @@ def _averaged(rows: DataFrame, model: Model, share: float, turn: int, turns: int
     def changes(shard: int, texts: list[np.ndarray], toxic: list[int]) -> pa.RecordBatch:
         start = _flat(shared.value)
         own = _with_flat(shared.value, start)
-        improve(own, texts, np.array(toxic, float), share, [SEED, shard], turn, turns)
+        improve(own, texts, np.array(toxic, float), share, np.random.default_rng([SEED, shard]), turn, turns)
         moved = np.round((_flat(own) - start).astype(np.float64) * FRACTION).astype(np.int32)
         used = np.flatnonzero(moved.any(axis=1))
         parts = np.split(used, np.flatnonzero(np.diff(used // MERGED_ROWS)) + 1) if len(used) else []
@@ -473,6 +474,18 @@ def _averaged(rows: DataFrame, model: Model, share: float, turn: int, turns: int
     return _with_flat(model, flat)
 
 
+def _alone(rows: DataFrame, steps: int) -> Model:
+    """What one learner makes of the rows of one shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            toxic = np.concatenate([b.column(0).to_numpy() for b in held]).astype(float)
+            yield batch_of(["model"], [[pickle.dumps(fit([t for b in held for t in _texts_of(b.column(1))], toxic, steps))]], [pa.binary()])
+
+    return pickle.loads(rows.select("toxic", "codes").coalesce(1).mapInArrow(run, "model binary").first().model)
+
+
 def _margins(rows: DataFrame, model: Model) -> DataFrame:
     """(language, margin, toxic) of labelled rows."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -496,11 +509,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     total, toxic = fits.agg(F.count("*"), F.sum("toxic")).first()
     if not toxic or toxic == total:
         return None
-    model = Model.fresh(np.random.default_rng(SEED))
-    turns = ROUNDS if shards > 1 else 1
-    for turn in range(turns):
-        model = _averaged(fits, model, toxic / total, turn, turns)
-    model = model.in_steps()
+    if shards == 1:
+        model = _alone(fits, _steps(total))
+    else:
+        model = Model.fresh(np.random.default_rng(SEED))
+        for turn in range(ROUNDS):
+            model = _averaged(fits, model, toxic / total, turn, ROUNDS)
+        model = model.in_steps()
     model.thresholds = thresholds(space, _margins(rows.where("not fits"), model))
     space.drop(rows)
     return model
