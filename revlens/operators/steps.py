@@ -6,10 +6,18 @@ runs that would run anyway; nothing is read or computed again. Counts are read a
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def rows_of(spark: SparkSession, counts: Mapping[str, int], name: str) -> DataFrame:
+    """Counts as rows ``name, n``, part of the plan itself."""
+    rows = F.array(*(F.struct(F.lit(key), F.lit(n)) for key, n in counts.items()))
+    return spark.range(1).select(F.inline(rows.cast(f"array<struct<{name}: string, n: bigint>>")))
+
+
 class StepCounts:
     """Counts at named points of one plan, for one action.
 
@@ -41,4 +49,4 @@ class StepCounts:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The counts as rows ``step, n``."""
-        return spark.createDataFrame(list(self.read().items()), "step string, n bigint")
+        return rows_of(spark, self.read(), "step")

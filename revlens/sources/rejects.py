@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.functions.casts import cast_to, has_value
+from revlens.operators.steps import rows_of
 from revlens.schema import REVIEW_FIELDS
 from revlens.session import materialise
 from revlens.sources.jsonl import is_json, read_lines, unpacked
@@ -91,4 +92,4 @@ def read_accounted(spark: SparkSession, path: str | list[str], fields: Mapping[s
 
 def counts_table(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     """The counts as rows ``what, n``, in their order."""
-    return spark.createDataFrame(list(counts.items()), "what string, n bigint")
+    return rows_of(spark, counts, "what")
